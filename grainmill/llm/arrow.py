@@ -38,20 +38,23 @@ def map_texts(
     """``keep`` columns plus what ``fn`` makes of the text column, a row for each row.
 
     ``fn`` takes an Arrow array of texts and returns a sequence of equal length for each
-    new field's name. The text itself doesn't leave the Python worker again.
+    new field's name. The text leaves the Python worker again
+    only if it is in ``keep``.
     """
     own = [f for f in df.schema.fields if f.name in keep]
     own.sort(key=lambda f: list(keep).index(f.name))
     schema = T.StructType([*own, *fields])
     arrow = to_arrow_schema(schema)
     n = len(own)
+    names = [f.name for f in own]
+    at = names.index(text) if text in names else n
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, n):
-                made = fn(part.column(n))
+            for part in slices(batch, at):
+                made = fn(part.column(at))
                 new = [pa.array(made[f.name], arrow.field(f.name).type) for f in fields]
                 old = [part.column(i).cast(arrow.field(i).type) for i in range(n)]
                 yield pa.RecordBatch.from_arrays([*old, *new], schema=arrow)
 
-    return df.select(*[f.name for f in own], text).mapInArrow(run, schema)
+    return df.select(*names, *([text] if at == n else [])).mapInArrow(run, schema)

@@ -5,16 +5,29 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from grainmill.llm.html_text import extract_pages
+from grainmill.llm.language_id import identify, train
 from grainmill.llm.token_counts import count_tokens
 from grainmill.runtime import table
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return identify(docs, train(docs))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 512)
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
+    "op5_language_id": op5_language_id,
     "op8_token_counts": op8_token_counts,
+    "op9_html_extraction": op9_html_extraction,
 }
 
 ORACLES: dict[str, str] = {}
