@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from grainmill.llm.html_text import extract_pages
 from grainmill.llm.language_id import identify, train
+from grainmill.llm.packing import pack_documents
 from grainmill.llm.token_counts import count_tokens
 from grainmill.runtime import table
 
@@ -16,6 +17,10 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, train(docs))
 
 
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 4096)
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 512)
 
@@ -26,6 +31,7 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op5_language_id": op5_language_id,
+    "op6_best_fit_packing": op6_best_fit_packing,
     "op8_token_counts": op8_token_counts,
     "op9_html_extraction": op9_html_extraction,
 }
