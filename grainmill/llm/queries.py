@@ -7,11 +7,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from grainmill.llm.html_text import extract_pages
 from grainmill.llm.language_id import identify, train
+from grainmill.llm.mixing import mix
 from grainmill.llm.packing import pack_documents
 from grainmill.llm.token_counts import count_tokens
 from grainmill.runtime import table
 
 
+def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return identify(docs, train(docs))
@@ -30,6 +35,7 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_source_mixing": op3_source_mixing,
     "op5_language_id": op5_language_id,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op8_token_counts": op8_token_counts,
