@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from grainmill.llm.html_text import extract_pages
 from grainmill.llm.language_id import identify, train
+from grainmill.llm import oracles, quality
+from grainmill.llm.line_dedup import dedup_lines
 from grainmill.llm.mixing import mix
 from grainmill.llm.packing import pack_documents
 from grainmill.llm.token_counts import count_tokens
@@ -17,6 +20,10 @@ def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return identify(docs, train(docs))
@@ -26,6 +33,11 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 4096)
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = dedup_lines(table(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
+    return done.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 512)
 
@@ -36,10 +48,12 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_source_mixing": op3_source_mixing,
+    "op4_quality_rules": op4_quality_rules,
     "op5_language_id": op5_language_id,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_line_dedup": op7_line_dedup,
     "op8_token_counts": op8_token_counts,
     "op9_html_extraction": op9_html_extraction,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = oracles.ORACLES
