@@ -52,4 +52,20 @@ SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_R
 FROM judged
 """
 
-ORACLES = {"op4_quality_rules": OP4, "op7_line_dedup": OP7}
+_BITS = "array_to_string(list_transform(string_split(sha1(p), ''), lambda x: ['0000','0001','0010','0011','0100','0101','0110','0111','1000','1001','1010','1011','1100','1101','1110','1111'][strpos('0123456789abcdef', x)]), '')"
+
+OP2 = f"""
+WITH own AS (
+  SELECT page_id, octet_length(encode(p))::BIGINT AS payload_bytes, {_BITS} AS bits FROM (SELECT page_id, coalesce(html, '') AS p FROM pages)
+), named AS (
+  SELECT page_id, payload_bytes, array_to_string(list_transform(range(32), lambda i:
+           substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', list_sum(list_transform(range(5), lambda k: substr(bits, (i * 5 + k + 1)::BIGINT, 1)::INT * (2 ** (4 - k))::INT))::BIGINT + 1, 1)), '') AS payload_digest FROM own
+), firsts AS (
+  SELECT payload_digest, min(page_id) AS first FROM named GROUP BY payload_digest
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM named JOIN firsts USING (payload_digest)
+"""
+
+ORACLES = {"op2_warc_round_trip": OP2, "op4_quality_rules": OP4, "op7_line_dedup": OP7}

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from grainmill.llm.html_text import extract_pages
 from grainmill.llm.language_id import identify, train
-from grainmill.llm import oracles, quality
+from grainmill.llm import oracles, quality, warc
 from grainmill.llm.line_dedup import dedup_lines
 from grainmill.llm.mixing import mix
 from grainmill.llm.packing import pack_documents
@@ -16,6 +16,10 @@ from grainmill.llm.token_counts import count_tokens
 from grainmill.runtime import table
 
 
+def op2_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"), min_bytes=0).drop("file")
+
+
 def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
@@ -47,6 +51,7 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_warc_round_trip": op2_warc_round_trip,
     "op3_source_mixing": op3_source_mixing,
     "op4_quality_rules": op4_quality_rules,
     "op5_language_id": op5_language_id,
