@@ -68,4 +68,19 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'r
 FROM named JOIN firsts USING (payload_digest)
 """
 
-ORACLES = {"op2_warc_round_trip": OP2, "op4_quality_rules": OP4, "op7_line_dedup": OP7}
+OP10 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS norm FROM (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings)
+  WHERE label IS NOT NULL AND e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0
+), pairs AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+  WHERE list_inner_product(a.e, b.e) / (a.norm * b.norm) >= 0.93
+), reach(a, b) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, p.b FROM reach r JOIN pairs p ON r.b = p.a
+), least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a), n AS (SELECT a, count(*) AS n FROM pairs GROUP BY a)
+SELECT vec_id, coalesce(n.n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings e JOIN least l ON e.vec_id = l.a LEFT JOIN n ON e.vec_id = n.a
+"""
+
+ORACLES = {"op10_embedding_near_dedup": OP10, "op2_warc_round_trip": OP2, "op4_quality_rules": OP4, "op7_line_dedup": OP7}

@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from grainmill.llm.embeddings import near_duplicates
 from grainmill.llm.html_text import extract_pages
 from grainmill.llm.language_id import identify, train
 from grainmill.llm import oracles, quality, warc
@@ -50,6 +51,10 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.93)
+
+
 QUERIES = {
     "op2_warc_round_trip": op2_warc_round_trip,
     "op3_source_mixing": op3_source_mixing,
@@ -59,6 +64,7 @@ QUERIES = {
     "op7_line_dedup": op7_line_dedup,
     "op8_token_counts": op8_token_counts,
     "op9_html_extraction": op9_html_extraction,
+    "op10_embedding_near_dedup": op10_embedding_near_dedup,
 }
 
 ORACLES = oracles.ORACLES
