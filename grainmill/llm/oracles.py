@@ -83,4 +83,20 @@ SELECT vec_id, coalesce(n.n, 0)::BIGINT AS n_links, component_id, vec_id = compo
 FROM embeddings e JOIN least l ON e.vec_id = l.a LEFT JOIN n ON e.vec_id = n.a
 """
 
-ORACLES = {"op10_embedding_near_dedup": OP10, "op2_warc_round_trip": OP2, "op4_quality_rules": OP4, "op7_line_dedup": OP7}
+OP1 = rf"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}') AS w FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 2 THEN [w[1]]
+                 ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s FROM words
+), shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb, count(*) AS inter FROM shingles a JOIN shingles b ON a.x = b.x AND a.doc_id <> b.doc_id
+  WHERE 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n) GROUP BY ALL
+), links AS (SELECT a, b FROM shared WHERE 100 * inter >= 80 * (na + nb - inter)),
+reach(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN least ON doc_id = a
+"""
+
+ORACLES = {"op1_minhash_near_dedup": OP1, "op10_embedding_near_dedup": OP10, "op2_warc_round_trip": OP2, "op4_quality_rules": OP4, "op7_line_dedup": OP7}

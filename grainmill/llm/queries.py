@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from grainmill.llm.embeddings import near_duplicates
 from grainmill.llm.html_text import extract_pages
 from grainmill.llm.language_id import identify, train
-from grainmill.llm import oracles, quality, warc
+from grainmill.llm import minhash, oracles, quality, warc
 from grainmill.llm.line_dedup import dedup_lines
 from grainmill.llm.mixing import mix
 from grainmill.llm.packing import pack_documents
@@ -17,6 +17,10 @@ from grainmill.llm.token_counts import count_tokens
 from grainmill.runtime import table
 
 
+def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=2, percent=80)
+
+
 def op2_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"), min_bytes=0).drop("file")
 
@@ -56,6 +60,7 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_warc_round_trip": op2_warc_round_trip,
     "op3_source_mixing": op3_source_mixing,
     "op4_quality_rules": op4_quality_rules,
