@@ -1,14 +1,598 @@
-"""Registered queries of the reference's operators and their SQL."""
+"""Registered queries of the reference's operators and their SQL.
+
+Each query runs over its whole table; what has no table runs over inline rows. ``Q`` adds a
+query and, where DuckDB can express it, its SQL.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from grainmill.runtime import table
+from grainmill import schemas as S
+from grainmill.functions import spans as sp
+from grainmill.functions import text as tx
+from grainmill.operators import combine as cb
+from grainmill.operators import metrics, redact
+from grainmill.plans import build, fixtures
+from grainmill.plans.fixtures import canon_sql, canonical, combined, json_sql, norm_sql, quoted
+from grainmill.runtime import scratch_path, settle, table
+from grainmill.sources import adapters, scans
 
-QUERIES: dict = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def Q(name: str, sql: str | None = None):
+    def add(f):
+        QUERIES[name] = f
+        if sql:
+            ORACLES[name] = sql
+        return f
+
+    return add
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").limit(1)
+    """Combined chat examples of documents and benchmark."""
+    return combined(spark, sf_dir).messages()
+
+
+def docs(spark, d):
+    return table(spark, d, "documents")
+
+
+def rows(spark, data, schema):
+    return spark.createDataFrame(data, schema)
+
+
+# Scans ----------------------------------------------------------------------------------
+
+PROMPTS = '[{"id": "a", "prompt": "x"}, {"prompt": "two\\nlines"}, {"id": "", "prompt": null}]'
+CONTEXTS = '{"context": ["a", "b"]}\n\n{"context": ["c"]}\r\n{"context": ["é"]}'
+SAMPLES = '{"id": "1", "text": "mail"}\n\n{"id": 2, "text": "phone"}'
+LISTED = ["README.md", "LICENSE", "data/x.txt", "sub/Notice.txt", "license.md", "NOTICE.rst", "data/NotInject_one-0.parquet", "data/NotInject_two-1.parquet", "data/NotInject_three-0.parquet", "data/train-0.parquet", "data/NotInject_four-0.parquet", "data/test-0.csv"]
+ATTACKS = [("text", "train", {"b": ["b0", "b1"], "a": ["a0"]}), ("text", "test", {"z": ["z0", "b1"]}), ("code", "train", {"c": ["c0"]}), ("code", "test", {"d": ["d0", "d1"], "C": ["e0"]})]
+LOCKED = [("s1", "r1", "p1", "h1"), ("s1", "r1", "p2", "h2"), ("s1", "r1", "p4", None), ("s2", "r2", None, None), ("s3", None, None, None)]
+FETCHED = [("s1", "p1", "h1"), ("s1", "p2", "changed"), ("s1", "p3", "h3"), ("s2", "p9", "h9")]
+
+
+@Q("scan_json_array")
+def _(spark, d):
+    return scans.json_array(spark, fixtures.written(spark, PROMPTS), scans.T.StructType([scans.T.StructField("id", S.S), scans.T.StructField("prompt", S.S)])).drop("file")
+
+
+@Q("scan_parquet_rowindex", "SELECT row_number() OVER () - 1 AS row_index, doc_id FROM documents")
+def _(spark, d):
+    return scans.parquet_rows(spark, f"{d}/documents.parquet").select("row_index", "doc_id")
+
+
+@Q("source_file_select", f"SELECT f AS filename, 'test' AS source_split FROM (VALUES {', '.join(f'({quoted(x)})' for x in LISTED)}) t(f) WHERE regexp_matches(f, '^data/NotInject_(one|two|three)-.*[.]parquet$')")
+def _(spark, d):
+    return scans.require_files(rows(spark, [(x,) for x in LISTED], "filename string"), "notinject")
+
+
+@Q("scan_jsonl_ordinal")
+def _(spark, d):
+    got = scans.json_lines(spark, fixtures.written(spark, CONTEXTS), scans.T.StructType([scans.T.StructField("context", scans.T.ArrayType(S.S))]))
+    return got.select("ordinal", tx.joined_text(F.col("context"), "context").alias("context"))
+
+
+def attack_rows(spark):
+    pools = rows(spark, ATTACKS, "kind string, split string, m map<string,array<string>>").select("kind", "split", F.map_entries("m").alias("e"))
+    return scans.flatten_attacks(pools, ("kind", "split"))
+
+
+def attack_values():
+    out = []
+    for kind, split, pool in ATTACKS:
+        flat = [(f"{f}-{i}", p) for f in sorted(pool) for i, p in enumerate(pool[f])]
+        out += [f"({quoted(kind)}, {quoted(split)}, {k}, {quoted(n)}, {quoted(p)})" for k, (n, p) in enumerate(flat)]
+    return f"(VALUES {', '.join(out)}) t(kind, split, ord, attack_name, payload)"
+
+
+@Q("attack_flatten", f"SELECT kind, split, ord::INT AS ord, attack_name FROM {attack_values()}")
+def _(spark, d):
+    return attack_rows(spark).select("kind", "split", "ord", "attack_name")
+
+
+@Q("scan_samples")
+def _(spark, d):
+    return scans.samples(spark, fixtures.written(spark, SAMPLES))
+
+
+@Q("gate_files")
+def _(spark, d):
+    return scans.whole_files(spark, fixtures.written(spark, "one\r\ntwo\rthree")).select(F.lit("file").alias("path"), "text")
+
+
+def locked_values(values, names):
+    lit = lambda x: "NULL" if x is None else quoted(x)
+    return f"(VALUES {', '.join('(' + ', '.join(map(lit, v)) + ')' for v in values)}) t({names})"
+
+
+@Q("lock_entries", f"SELECT source, revision, path, sha256 FROM {locked_values(LOCKED, 'source, revision, path, sha256')}")
+def _(spark, d):
+    nested = [(["s1"], [("s1", "r1", [("p1", "h1"), ("p2", "h2"), ("p4", None)]), ("s2", "r2", None), ("s3", None, [])])]
+    return scans.lock_entries(rows(spark, nested, S.LOCK))
+
+
+@Q("verify_checksums", "SELECT doc_id, doc_id % 7 <> 0 AS ok FROM documents")
+def _(spark, d):
+    pinned = docs(spark, d).select("doc_id", F.sha2(F.concat("text", F.when(F.col("doc_id") % 7 == 0, "x").otherwise("")), 256).alias("pinned"))
+    return docs(spark, d).join(pinned, "doc_id").select("doc_id", (F.sha2("text", 256) == F.col("pinned")).alias("ok"))
+
+
+@Q("union_sources", "SELECT 'documents' AS source, count(*) AS n FROM documents UNION ALL SELECT 'benchmark', count(*) FROM benchmark UNION ALL SELECT 'conversations', count(*) FROM conversations")
+def _(spark, d):
+    part = lambda name: table(spark, d, name).select(F.lit(name).alias("source"), "text")
+    return adapters.union_all([part("documents"), part("benchmark"), part("conversations")]).groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+
+
+# Sinks ----------------------------------------------------------------------------------
+
+
+@Q("export_jsonl_rows", canon_sql("SELECT target AS split, count(*) AS n_rows FROM firsts GROUP BY target"))
+def _(spark, d):
+    return build.json_rows(combined(spark, d).messages()).where("line is not null").groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@Q("export_file_audit")
+def _(spark, d):
+    folder = scratch_path(spark, "export")
+    build.export(combined(spark, d), folder)
+    return build.audit_files(spark, folder)
+
+
+_COUNTS = """
+  SELECT target AS split, 'records' AS dimension, '' AS key, count(*) AS n FROM firsts GROUP BY target
+  UNION ALL SELECT target, 'by_source', source, count(*) FROM firsts GROUP BY target, source
+  UNION ALL SELECT target, 'by_task', task, count(*) FROM firsts GROUP BY target, task
+  UNION ALL SELECT target, 'by_task_answer', task || ':' || answer, count(*) FROM firsts GROUP BY target, task, answer"""
+_AUDIT = """
+  SELECT * FROM (
+    SELECT 'input_records' AS counter, (SELECT count(*) FROM grouped) AS n
+    UNION ALL SELECT 'document_groups', (SELECT count(DISTINCT group_id) FROM grouped)
+    UNION ALL SELECT 'conflicting_example_keys', (SELECT count(*) FROM answers WHERE n_answers > 1)
+    UNION ALL SELECT 'dropped_split_overlap', (SELECT count(*) FROM grouped JOIN facts USING (group_id) WHERE rank < highest)
+    UNION ALL SELECT 'dropped_conflicting_labels', (SELECT count(*) FROM staying JOIN answers USING (example_id) WHERE n_answers > 1)
+    UNION ALL SELECT 'dropped_duplicates', (SELECT count(*) - count(DISTINCT example_id) FROM agreed)
+  ) WHERE n > 0 OR counter IN ('input_records', 'document_groups', 'conflicting_example_keys')"""
+_OVERLAP = "SELECT source, count(*) AS n FROM grouped JOIN facts USING (group_id) WHERE rank < highest GROUP BY source"
+
+
+@Q("manifest_counts", canon_sql(f"""
+  SELECT 'counts/' || split || '/' || dimension AS section, key, n FROM ({_COUNTS})
+  UNION ALL SELECT 'deduplication', counter, n FROM ({_AUDIT}) UNION ALL SELECT 'split_overlap_drops_by_source', source, n FROM ({_OVERLAP})"""))
+def _(spark, d):
+    return build.manifest_counts(combined(spark, d))
+
+
+@Q("notice_select", f"SELECT f AS filename FROM (VALUES {', '.join(f'({quoted(x)})' for x in LISTED)}) t(f) WHERE upper(string_split(f, '/')[-1]) IN ({', '.join(map(quoted, build.NOTICES))})")
+def _(spark, d):
+    return build.notices(rows(spark, [(x,) for x in LISTED], "filename string"))
+
+
+# Projections ----------------------------------------------------------------------------
+
+
+@Q("normalize_text", f"SELECT doc_id, {norm_sql('text')} AS norm FROM documents")
+def _(spark, d):
+    return docs(spark, d).select("doc_id", tx.normalized(F.col("text")).alias("norm"))
+
+
+@Q("document_digest", f"SELECT sha256({norm_sql('text')}) AS document_sha256, count(*) AS n FROM documents GROUP BY 1")
+def _(spark, d):
+    return docs(spark, d).groupBy(tx.digest(tx.normalized(F.col("text"))).alias("document_sha256")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _key_sql(task: str, policy: str, query: str) -> str:
+    return f"sha256('[' || {json_sql(quoted(task))} || ', ' || {json_sql(norm_sql(quoted(policy)))} || ', ' || {json_sql(norm_sql(quoted(query)))} || ', ' || {json_sql(norm_sql('text'))} || ']')"
+
+
+@Q("example_key", f"SELECT doc_id, {_key_sql('prompt_moderation', S.AEGIS_POLICY, S.PROMPT_QUERY)} AS example_id FROM documents")
+def _(spark, d):
+    norm = lambda s: tx.normalized(F.lit(s))
+    return docs(spark, d).select("doc_id", tx.example_key(F.lit("prompt_moderation"), norm(S.AEGIS_POLICY), norm(S.PROMPT_QUERY), tx.normalized(F.col("text"))).alias("example_id"))
+
+
+@Q("bipia_text", "SELECT id, array_to_string(parts, chr(10)) AS text FROM (VALUES (1, ['a', 'b']), (2, ['x'])) t(id, parts)")
+def _(spark, d):
+    return rows(spark, [(1, ["a", "b"]), (2, ["x"])], "id int, parts array<string>").select("id", tx.joined_text(F.col("parts"), "context").alias("text"))
+
+
+MARKS = [(1, "REDACTED"), (2, " <Redacted> "), (3, "[redacted]\n"), (4, "redacted text"), (5, ""), (6, None)]
+
+
+@Q("is_redacted", "SELECT id, id <= 3 AS redacted FROM range(1, 7) t(id)")
+def _(spark, d):
+    return rows(spark, MARKS, "id long, t string").select("id", tx.is_redacted(F.col("t")).alias("redacted"))
+
+
+@Q("source_id", "SELECT doc_id, 'documents.parquet:' || doc_id AS source_id FROM documents")
+def _(spark, d):
+    got = scans.parquet_rows(spark, f"{d}/documents.parquet")
+    return got.select("doc_id", tx.source_id(F.lit("documents.parquet"), F.when(F.col("doc_id") % 3 > 0, F.col("doc_id")), F.col("row_index")).alias("source_id"))
+
+
+@Q("label_to_answer", "SELECT doc_id, CASE toxic WHEN 1 THEN 'yes' WHEN 0 THEN 'no' END AS answer FROM labels")
+def _(spark, d):
+    return table(spark, d, "labels").select("doc_id", adapters.mapped(F.col("toxic").cast("string"), {"1": "yes", "0": "no"}).alias("answer"))
+
+
+@Q("task_expand", "SELECT doc_id, task, CASE v WHEN 1 THEN 'yes' ELSE 'no' END AS answer FROM (SELECT doc_id, 'quality' AS task, quality AS v FROM labels UNION ALL SELECT doc_id, 'toxic', toxic FROM labels) WHERE v IS NOT NULL")
+def _(spark, d):
+    both = F.explode(F.array(*[F.struct(F.lit(t).alias("task"), F.col(t).alias("v")) for t in ("quality", "toxic")]))
+    return table(spark, d, "labels").select("doc_id", both.alias("x")).where("x.v is not null").select("doc_id", "x.task", F.when(F.col("x.v") == 1, "yes").otherwise("no").alias("answer"))
+
+
+@Q("conversation_document", f"""
+  SELECT u.conv_id, u.turn, '{{"user": ' || {json_sql('u.text')} || ', "assistant": ' || {json_sql('a.text')} || '}}' AS document
+  FROM conversations u JOIN conversations a ON u.conv_id = a.conv_id AND a.turn = u.turn + 1 WHERE u.role = 'user' AND a.role = 'assistant'""")
+def _(spark, d):
+    return adapters.conversation_pairs(table(spark, d, "conversations")).select("conv_id", "turn", tx.json_object(user=F.col("user"), assistant=F.col("assistant")).alias("document"))
+
+
+_POLICIES = {"prompt_moderation": (S.WILDGUARD_POLICY, S.PROMPT_QUERY), "response_moderation": (S.WILDGUARD_POLICY, S.RESPONSE_QUERY), "refusal": (S.REFUSAL_POLICY, S.REFUSAL_QUERY), "prompt_injection": (S.INJECTION_POLICY, S.INJECTION_QUERY)}
+
+
+@Q("policy_query", " UNION ALL ".join(f"SELECT {quoted(t)} AS task, {quoted(p)} AS instruction, {quoted(q)} AS query" for t, (p, q) in _POLICIES.items()))
+def _(spark, d):
+    task = F.col("task")
+    return rows(spark, [(t,) for t in S.TASKS], "task string").select("task", adapters.instruction_for("wildguard", task).alias("instruction"), adapters.query_for(task).alias("query"))
+
+
+@Q("canonical_records", f"WITH RECURSIVE {fixtures.CANON} SELECT source, source_id, source_split, task, instruction, query, document, answer FROM canon")
+def _(spark, d):
+    return canonical(spark, d).select(*S.REQUIRED)
+
+
+@Q("provenance_json", "SELECT doc_id, '{\"dataset_id\":\"deepset/prompt-injections\",\"file\":\"documents.parquet\",\"original_annotations\":{\"label\":' || (doc_id % 2) || '},\"row_index\":' || doc_id || '}' AS provenance FROM documents")
+def _(spark, d):
+    got = scans.parquet_rows(spark, f"{d}/documents.parquet").withColumn("file", F.lit("documents.parquet")).withColumn("label", F.col("doc_id") % 2)
+    return got.select("doc_id", adapters.provenance_json("deepset", got.columns).alias("provenance"))
+
+
+_KIND = "CASE doc_id % 3 WHEN 0 THEN 'email' WHEN 1 THEN 'table' ELSE 'code' END"
+_ASK = f"CASE WHEN {_KIND} = 'code' THEN 'Fix the bug in the user''s code using the external Stack Overflow answer.' || chr(10) || chr(10) || 'Error:' || chr(10) || source || chr(10) || chr(10) || 'User code:' || chr(10) || lang ELSE 'Answer the user''s question using the external ' || {_KIND} || '.' || chr(10) || chr(10) || 'Question: ' || source END"
+
+
+def kind(id_):
+    return F.element_at(F.array(*map(F.lit, adapters.CONTEXT_KINDS)), (id_ % 3 + 1).cast("int"))
+
+
+@Q("bipia_query", f"SELECT doc_id, {quoted(S.CONTEXT_POLICY + S.TRUSTED_TASK)} || {_ASK} AS instruction FROM documents")
+def _(spark, d):
+    query = adapters.context_query(kind(F.col("doc_id")), F.col("source"), F.col("source"), F.col("lang"))
+    return docs(spark, d).select("doc_id", F.concat(F.lit(S.CONTEXT_POLICY + S.TRUSTED_TASK), query).alias("instruction"))
+
+
+@Q("bipia_license", "SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'MIT' ELSE 'CC-BY-SA-4.0' END AS license FROM documents")
+def _(spark, d):
+    return docs(spark, d).select("doc_id", adapters.context_license(kind(F.col("doc_id"))).alias("license"))
+
+
+_POSITION = "CASE WHEN ('0x' || substr(sha256(text), 1, 2))::INT % 2 = 0 THEN 'start' ELSE 'end' END"
+
+
+@Q("insertion_position", f"SELECT doc_id, {_POSITION} AS position FROM documents")
+def _(spark, d):
+    return docs(spark, d).select("doc_id", adapters.insertion_position(F.col("text")).alias("position"))
+
+
+def injection_inputs(spark, d):
+    """Documents as contexts, benchmark items as attacks of one pool for each split."""
+    contexts = docs(spark, d).where(~tx.blank(F.col("text"))).select(
+        kind(F.col("doc_id")).alias("subtask"), F.when(F.col("doc_id") % 2 == 0, "train").otherwise("test").alias("split"), F.col("doc_id").alias("ordinal"), F.array("text").alias("context"),
+        F.col("source").alias("question"), F.col("source").alias("error"), F.coalesce("lang", F.lit("-")).alias("code"), F.lit(None).cast("string").alias("context_url"), F.lit("").alias("context_author_url"),
+    )
+    items = table(spark, d, "benchmark").where(~tx.blank(F.col("text")))
+    pools = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(s).alias("split")) for k in ("text", "code") for s in ("train", "test")]))
+    half = F.when(F.col("item_id") % 2 == 0, "train").otherwise("test")
+    attacks = items.select(pools.alias("p"), "item_id", F.col("text").alias("payload")).where(F.col("p.split") == half)
+    return contexts, attacks.select("p.kind", "p.split", F.expr("item_id div 2").cast("int").alias("ord"), F.concat(F.lit("item-"), F.col("item_id").cast("string")).alias("attack_name"), "payload")
+
+
+_INJECT = f"""
+WITH pool AS (SELECT item_id // 2 AS ord, item_id % 2 AS half, item_id, text AS payload FROM benchmark WHERE trim(replace(text, chr(10), ' ')) <> ''),
+sizes AS (SELECT half, count(*) AS n FROM pool GROUP BY half),
+pairs AS (
+  SELECT doc_id, item_id, text, payload, {_KIND} || '/' || CASE WHEN doc_id % 2 = 0 THEN 'train' ELSE 'test' END || '/' || (doc_id + 1) AS id, {_POSITION} AS position
+  FROM documents JOIN sizes ON sizes.half = doc_id % 2 JOIN pool ON pool.half = doc_id % 2 AND pool.ord = doc_id % n WHERE trim(replace(text, chr(10), ' ')) <> '')
+"""
+
+
+@Q("inject_documents", f"""{_INJECT}
+  SELECT id || '/clean' AS source_id, 'no' AS answer, sha256({norm_sql('text')}) AS document_sha256 FROM pairs
+  UNION ALL SELECT id || '/injected/item-' || item_id || '/' || position, 'yes',
+         sha256({norm_sql("CASE position WHEN 'start' THEN payload || chr(10) || text ELSE text || chr(10) || payload END")}) FROM pairs""")
+def _(spark, d):
+    return adapters.context_records(*injection_inputs(spark, d)).select("source_id", "answer", tx.digest(tx.normalized(F.col("document"))).alias("document_sha256"))
+
+
+@Q("round_robin_attack", f"{_INJECT} SELECT doc_id, 'item-' || item_id AS attack_id FROM pairs")
+def _(spark, d):
+    contexts, attacks = injection_inputs(spark, d)
+    met = adapters.round_robin(contexts.withColumn("kind", adapters.attack_pool_key(F.col("subtask"))), attacks)
+    return met.select(F.col("ordinal").alias("doc_id"), F.col("attack_name").alias("attack_id"))
+
+
+@Q("bipia_counts", f"{_INJECT} SELECT string_split(id, '/')[2] AS split, string_split(id, '/')[1] AS task, count(*) * 2 AS n FROM pairs GROUP BY ALL")
+def _(spark, d):
+    parts = F.split("source_id", "/")
+    return adapters.context_records(*injection_inputs(spark, d)).groupBy(F.col("source_split").alias("split"), parts[0].alias("task")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@Q("chat_messages", f"WITH RECURSIVE {fixtures.CANON} SELECT source_id, {quoted(S.SYSTEM_PROMPT)} AS system, '<Instruct>: ' || instruction || chr(10) || chr(10) || '<Query>: ' || query || chr(10) || chr(10) || '<Document>: ' || document AS user, answer AS assistant FROM canon")
+def _(spark, d):
+    return canonical(spark, d).select("source_id", F.lit(S.SYSTEM_PROMPT).alias("system"), cb.user_message().alias("user"), F.col("answer").alias("assistant"))
+
+
+@Q("validation_draw", f"""
+  SELECT g AS group_id, x AS draw, CASE WHEN x < 0.05::DOUBLE THEN 'validation' ELSE 'train' END AS target FROM (
+    SELECT g, ('0x' || substr(sha256('42:' || g), 1, 16))::UBIGINT::DOUBLE / 18446744073709551616.0::DOUBLE AS x FROM (SELECT DISTINCT sha256({norm_sql('text')}) AS g FROM documents))""")
+def _(spark, d):
+    ids = docs(spark, d).select(tx.digest(tx.normalized(F.col("text"))).alias("group_id")).distinct()
+    draw = tx.unit_draw(F.concat(F.lit(f"{cb.SEED}:"), F.col("group_id")))
+    return ids.select("group_id", draw.alias("draw"), F.when(draw < cb.VALIDATION_FRACTION, "validation").otherwise("train").alias("target"))
+
+
+@Q("argmax_labels", "SELECT vec_id, (list_position(embedding, list_max(embedding)) - 1)::INT AS argmax FROM embeddings")
+def _(spark, d):
+    return table(spark, d, "embeddings").select("vec_id", sp.argmax(F.col("embedding")).alias("argmax"))
+
+
+@Q("token_truncate", "SELECT doc_id, least(len(regexp_split_to_array(text, '[ \\n]')), 100)::INT AS n_tokens FROM documents")
+def _(spark, d):
+    tokens = F.transform(F.split("text", "[ \n]"), lambda w: F.struct(F.lit("O").alias("label"), F.lit(0).alias("start"), F.length(w).alias("end")))
+    return docs(spark, d).select("doc_id", F.size(sp.truncated(tokens, 100)).alias("n_tokens"))
+
+
+# Spans ----------------------------------------------------------------------------------
+
+#: Texts, tokens, and the spans expected of them.
+TOKEN_CASES = [
+    (1, "Ada Lovelace mail a@b.c", [("B-private_person", 0, 3), ("E-private_person", 3, 12), ("O", 13, 17), ("S-private_email", 17, 23)], [("private_person", 0, 12, "Ada Lovelace"), ("private_email", 18, 23, "a@b.c")]),
+    (2, "one two three", [("I-x", 0, 3), ("I-x", 3, 7), ("E-y", 8, 13)], [("x", 0, 7, "one two"), ("y", 8, 13, "three")]),
+    (3, "a b c d", [("B-x", 0, 1), ("B-y", 2, 3), ("I-x", 4, 5), ("O", 5, 5), ("Q-x", 6, 7)], [("x", 0, 1, "a"), ("y", 2, 3, "b"), ("x", 4, 5, "c")]),
+    (4, "k-1 s", [("S-a-b", 0, 3), ("S", 4, 5)], [("a-b", 0, 3, "k-1"), ("S", 4, 5, "s")]),
+    (5, "   ", [("S-x", 0, 3)], []),
+    (6, "open end", [("B-x", 0, 4), ("I-x", 5, 8)], [("x", 0, 8, "open end")]),
+    (7, "none", [], []),
+    (8, "é😀z", [("S-x", 1, 2), ("S-x", 1, 3)], [("x", 1, 3, "😀z")]),
+]
+_SPANS_SQL = "SELECT * FROM (VALUES " + ", ".join(f"({i}::BIGINT, {quoted(a)}, {b}, {c}, {quoted(t)}, {quoted('<' + a.upper() + '>')})" for i, _t, _k, want in TOKEN_CASES for a, b, c, t in want) + ') t(doc_id, label, "start", "end", text, placeholder)'
+
+
+def token_rows(spark):
+    return rows(spark, [(i, t, k) for i, t, k, _ in TOKEN_CASES], "doc_id long, body string, tokens array<struct<label:string,start:int,end:int>>")
+
+
+@Q("bioes_spans", _SPANS_SQL)
+def _(spark, d):
+    return token_rows(spark).select("doc_id", F.explode(sp.bioes_spans(F.col("body"), F.col("tokens"))).alias("s")).select("doc_id", "s.*")
+
+
+OVERLAPS = [("a", 0, 4), ("b", 0, 6), ("c", 5, 9), ("d", 6, 8), ("e", 8, 8), ("f", 8, 10)]
+
+
+@Q("spans_non_overlapping", "SELECT * FROM (VALUES (1::BIGINT, 'b', 0, 6), (1, 'd', 6, 8), (1, 'f', 8, 10)) t(doc_id, label, \"start\", \"end\")")
+def _(spark, d):
+    spans = rows(spark, [(1, [(a, b, c, "", "") for a, b, c in OVERLAPS])], f"doc_id long, spans array<{S.SPAN.simpleString()}>")
+    return spans.select("doc_id", F.explode(sp.non_overlapping(F.col("spans"))).alias("s")).select("doc_id", "s.label", "s.start", "s.end")
+
+
+@Q("span_trim", "SELECT * FROM (VALUES (1::BIGINT, 1, 3, 'ab'), (2, 0, 2, 'ab'), (3, 3, 3, '')) t(doc_id, \"start\", \"end\", text)")
+def _(spark, d):
+    cases = rows(spark, [(1, " ab\t", (("x", 0, 4))), (2, "ab　", (("x", 0, 3))), (3, " \n\x1c", (("x", 0, 3)))], "doc_id long, body string, s struct<label:string,start:int,end:int>")
+    return cases.select("doc_id", sp.trimmed(F.col("body"), F.col("s")).alias("t")).select("doc_id", "t.start", "t.end", "t.text")
+
+
+_EMAIL, _LONG = (f"(^|[ \\n])({p})" for p in redact.FIXTURE_PATTERNS.values())
+
+
+def _mark(pattern: str, mark: str, x: str) -> str:
+    """Words that are the pattern as a whole; twice, since neighbours share the space between them."""
+    once = lambda y: f"regexp_replace({y}, '(^|[ \\n]){pattern}($|[ \\n])', '\\1{mark}\\2', 'g')"
+    return once(once(x))
+
+
+_REDACTED = _mark(redact.FIXTURE_PATTERNS["account_number"], "<ACCOUNT_NUMBER>", _mark(redact.FIXTURE_PATTERNS["private_email"].replace("+", "+"), "<PRIVATE_EMAIL>", "text"))
+_LABELS = f"concat_ws(',', CASE WHEN contains({_REDACTED}, '<ACCOUNT_NUMBER>') THEN 'ACCOUNT_NUMBER' END, CASE WHEN contains({_REDACTED}, '<PRIVATE_EMAIL>') THEN 'PRIVATE_EMAIL' END)"
+
+
+def redacted_docs(spark, d):
+    base = docs(spark, d)
+    return redact.redacted(base, redact.fixture_tokens(F.col("text")))
+
+
+@Q("apply_redactions", f"SELECT doc_id, {_REDACTED} AS redacted_text FROM documents")
+def _(spark, d):
+    return redacted_docs(spark, d).select("doc_id", "redacted_text")
+
+
+@Q("redact_labels", f"SELECT doc_id, {_LABELS} AS labels FROM documents")
+def _(spark, d):
+    return redacted_docs(spark, d).select("doc_id", F.array_join("labels", ",").alias("labels"))
+
+
+_BACK = f"SELECT doc_id, {_REDACTED} AS redacted_text, {_LABELS} AS labels, length(text)::INT AS input_chars, length({_REDACTED})::INT AS output_chars"
+
+
+@Q("redact_documents", f"{_BACK} FROM documents")
+def _(spark, d):
+    return redacted_docs(spark, d).select("doc_id", "redacted_text", F.array_join("labels", ",").alias("labels"), "input_chars", "output_chars")
+
+
+@Q("redact_response", f"{_BACK}, 'onnx' AS backend, 'fixture' AS model_id, 'onnx/model_q4.onnx' AS onnx_model_file, 'bioes_argmax' AS decode_mode FROM documents")
+def _(spark, d):
+    back = redact.response(redacted_docs(spark, d), redact.RedactionOptions(model_id="fixture"))
+    return back.select("doc_id", "redacted_text", F.array_join("labels", ",").alias("labels"), "input_chars", "output_chars", "backend", "model_id", "onnx_model_file", "decode_mode")
+
+
+@Q("privacy_gate", f"SELECT doc_id, CASE WHEN {_LABELS} <> '' THEN 'FAIL' ELSE 'PASS' END AS status, {_LABELS} AS matched FROM documents")
+def _(spark, d):
+    return redact.gate(redacted_docs(spark, d)).select("doc_id", "status", F.array_join("matched", ",").alias("matched"))
+
+
+@Q("request_bounds", "SELECT doc_id, coalesce(length(text) BETWEEN 1 AND 2000000, false) AS ok FROM documents")
+def _(spark, d):
+    return docs(spark, d).select("doc_id", redact.within_bounds(F.col("text")).alias("ok"))
+
+
+# Validation -----------------------------------------------------------------------------
+
+_GOOD = ("src", "id", "train", "refusal", "i", "q", "d", "yes", ["a"], None)
+BAD = [
+    (1, _GOOD, None), (2, (None, *_GOOD[1:]), "missing/empty source"), (3, (*_GOOD[:6], "  ", *_GOOD[7:]), "missing/empty document"), (4, (*_GOOD[:2], "dev", *_GOOD[3:]), "unsupported source split"),
+    (5, (*_GOOD[:3], "other", *_GOOD[4:]), "unsupported task or answer"), (6, (*_GOOD[:7], "maybe", *_GOOD[8:]), "unsupported task or answer"), (7, (*_GOOD[:8], [], None), "no group anchor"), (8, (*_GOOD[:8], None, None), "no group anchor"),
+    (9, (*_GOOD[:8], ["a", " "], None), "invalid group anchor"), (10, ("notinject", *_GOOD[1:]), "notinject must remain evaluation-only"), (11, ("notinject", "id", "test", *_GOOD[3:]), None), (12, (*_GOOD[:8], ["a", None], None), "invalid group anchor"),
+]
+
+
+@Q("validate_records", "SELECT * FROM (VALUES " + ", ".join(f"({i}, {'NULL' if v is None else quoted(v)})" for i, _, v in BAD) + ") t(id, violation)")
+def _(spark, d):
+    schema = "id int, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in S.CANONICAL.fields)
+    return rows(spark, [(i, *r) for i, r, _ in BAD], schema).select("id", cb.violation().alias("violation"))
+
+
+@Q("schema_check", "SELECT * FROM (VALUES ('aegis', 'prompt_label'), ('wildguard', 'response_harm_label'), ('wildguard', 'response_refusal_label')) t(source, missing)")
+def _(spark, d):
+    have = {"aegis": ["prompt", "response", "response_label"], "wildguard": ["prompt", "response", "prompt_harm_label"], "deepset": ["label", "text", "more"]}
+    return rows(spark, [(n, m) for n, cols in have.items() for m in adapters.missing_columns(n, cols)], "source string, missing string")
+
+
+def labelled(spark, d):
+    """Documents with their labels as rows of a labelled source; every fifteenth text is marked as redacted, every sixteenth blank."""
+    base = docs(spark, d).join(table(spark, d, "labels"), "doc_id", "left")
+    prompt = F.when(F.col("doc_id") % 15 == 0, "[REDACTED]").when(F.col("doc_id") % 16 == 0, "  ").otherwise(F.col("text"))
+    word = lambda c: F.when(F.col(c) == 1, "unsafe").when(F.col(c) == 0, "safe")
+    answer = F.when(F.col("doc_id") % 11 == 0, "redacted").when(F.col("doc_id") % 13 == 0, None).otherwise("fine")
+    return base.select(F.lit("documents").alias("file"), F.col("doc_id").alias("row_index"), F.col("doc_id").cast("string").alias("id"), prompt.alias("prompt"), answer.alias("response"), word("toxic").alias("prompt_label"), word("quality").alias("response_label"))
+
+
+@Q("skip_reasons", """
+WITH r AS (SELECT documents.doc_id, toxic, quality FROM documents LEFT JOIN labels USING (doc_id)), ok AS (SELECT * FROM r WHERE doc_id % 15 <> 0 AND doc_id % 16 <> 0)
+SELECT * FROM (
+  SELECT 'redacted_prompt_rows' AS reason, count(*) AS n FROM r WHERE doc_id % 15 = 0
+  UNION ALL SELECT 'empty_prompt_rows', count(*) FROM r WHERE doc_id % 15 <> 0 AND doc_id % 16 = 0
+  UNION ALL SELECT 'missing_label:prompt_moderation', count(*) FROM ok WHERE toxic IS NULL
+  UNION ALL SELECT 'missing_label:response_moderation', count(*) FROM ok WHERE quality IS NULL
+  UNION ALL SELECT 'redacted_response:response_moderation', count(*) FROM ok WHERE quality IS NOT NULL AND doc_id % 11 = 0
+  UNION ALL SELECT 'empty_response:response_moderation', count(*) FROM ok WHERE quality IS NOT NULL AND doc_id % 11 <> 0 AND doc_id % 13 = 0
+) WHERE n > 0""")
+def _(spark, d):
+    return adapters.skip_counts(adapters.expanded("aegis", labelled(spark, d), "train"))
+
+
+@Q("source_counts", """
+WITH r AS (SELECT doc_id, toxic, quality FROM documents LEFT JOIN labels USING (doc_id) WHERE doc_id % 15 <> 0 AND doc_id % 16 <> 0)
+SELECT 'train' AS split, 'prompt_moderation' AS task, count(*) AS n FROM r WHERE toxic IS NOT NULL HAVING count(*) > 0
+UNION ALL SELECT 'train', 'response_moderation', count(*) FROM r WHERE quality IS NOT NULL AND doc_id % 11 <> 0 AND doc_id % 13 <> 0 HAVING count(*) > 0""")
+def _(spark, d):
+    return adapters.records("aegis", labelled(spark, d), "train").groupBy(F.col("source_split").alias("split"), "task").agg(F.count(F.lit(1)).alias("n"))
+
+
+@Q("label_domain_check", "SELECT * FROM (VALUES ('f:0', NULL), ('f:1', NULL), ('f:2', 'unexpected label: prompt_injection'), ('f:3', NULL)) t(id, violation)")
+def _(spark, d):
+    data = rows(spark, [("f", 0, "t", 0), ("f", 1, "t", 1), ("f", 2, "t", 7), ("f", 3, "t", None)], "file string, row_index long, text string, label long")
+    return adapters.expanded("deepset", data, "train").select(F.col("source_id").alias("id"), "violation")
+
+
+@Q("missing_attribution", f"SELECT {_KIND} || '/' || CASE WHEN doc_id % 2 = 0 THEN 'train' ELSE 'test' END || '/' || (doc_id + 1) || '/clean' AS source_id FROM documents WHERE {_KIND} = 'code' AND trim(replace(text, chr(10), ' ')) <> ''")
+def _(spark, d):
+    return adapters.lacking_author(injection_inputs(spark, d)[0]).select(F.concat_ws("/", "subtask", "split", (F.col("ordinal") + 1).cast("string"), F.lit("clean")).alias("source_id"))
+
+
+@Q("lock_coverage", "SELECT * FROM (VALUES ('s3'), ('s4')) t(source)")
+def _(spark, d):
+    return build.uncovered(rows(spark, [("s1",), ("s3",), ("s4",), ("s4",)], "source string"), rows(spark, LOCKED, "source string, revision string, path string, sha256 string"))
+
+
+@Q("lock_verify", "SELECT * FROM (VALUES ('s1', 'p1', 'ok'), ('s1', 'p2', 'changed'), ('s1', 'p3', 'unexpected'), ('s1', 'p4', 'missing')) t(source, path, status)")
+def _(spark, d):
+    return build.lock_status(rows(spark, LOCKED, "source string, revision string, path string, sha256 string"), rows(spark, FETCHED, "source string, path string, sha256 string"))
+
+
+@Q("attack_overlap", f"SELECT a.kind, count(*) AS n FROM (SELECT DISTINCT kind, payload FROM {attack_values()} WHERE split = 'train') a JOIN (SELECT DISTINCT kind, payload FROM {attack_values()} WHERE split = 'test') b ON a.kind = b.kind AND a.payload = b.payload GROUP BY a.kind")
+def _(spark, d):
+    return adapters.overlapping_attacks(attack_rows(spark))
+
+
+# Combination ----------------------------------------------------------------------------
+
+
+@Q("anchor_edges", canon_sql("SELECT a AS anchor_a, b AS anchor_b FROM edges WHERE a <> b"))
+def _(spark, d):
+    return cb.anchor_edges(cb.fingerprinted(canonical(spark, d)))
+
+
+@Q("document_groups", canon_sql("SELECT string_split(source_id, ':')[2]::BIGINT AS doc_id, group_id FROM grouped WHERE source <> 'notinject'"))
+def _(spark, d):
+    named = cb.grouped(settle(cb.fingerprinted(canonical(spark, d)), "records"))
+    return named.where(F.col("source") != S.EVALUATION_ONLY).select(F.split("source_id", ":")[1].cast("long").alias("doc_id"), "group_id")
+
+
+@Q("group_assign", canon_sql("SELECT group_id, highest_split, target FROM facts"))
+def _(spark, d):
+    named = cb.grouped(settle(cb.fingerprinted(canonical(spark, d)), "records"))
+    return cb.group_facts(named).select("group_id", "highest_split", "target")
+
+
+@Q("split_overlap", canon_sql(_OVERLAP))
+def _(spark, d):
+    return combined(spark, d).overlap_by_source()
+
+
+@Q("overlap_by_source", canon_sql(_OVERLAP))
+def _(spark, d):
+    return combined(spark, d).overlap_by_source()
+
+
+@Q("conflict_removal", canon_sql("SELECT example_id, n_answers FROM answers WHERE n_answers > 1"))
+def _(spark, d):
+    flagged = combined(spark, d).flagged.where("fate = 'conflict'")
+    return flagged.select("example_id").distinct().select("example_id", F.lit(2).cast("long").alias("n_answers"))
+
+
+@Q("dedup_audit", canon_sql(_AUDIT))
+def _(spark, d):
+    return combined(spark, d).audit()
+
+
+@Q("split_counts", canon_sql(f"SELECT * FROM ({_COUNTS})"))
+def _(spark, d):
+    return combined(spark, d).split_counts()
+
+
+@Q("dedup_origins", canon_sql("""
+  SELECT f.example_id, f.source_id, o.n_origins, o.origin_ids FROM firsts f JOIN (
+    SELECT example_id, count(*) AS n_origins, string_agg(source_id, ',' ORDER BY source, source_id) AS origin_ids FROM agreed GROUP BY example_id) o USING (example_id)"""))
+def _(spark, d):
+    origins = F.col("origins")
+    return combined(spark, d).examples.select("example_id", "source_id", F.size(origins).cast("long").alias("n_origins"), F.array_join(F.transform(origins, lambda o: o["source_id"]), ",").alias("origin_ids"))
+
+
+@Q("split_shuffle", canon_sql("SELECT target AS split, row_number() OVER (PARTITION BY target ORDER BY sha256('42:' || example_id), example_id) - 1 AS pos, example_id FROM firsts"))
+def _(spark, d):
+    return combined(spark, d).shuffled()
+
+
+@Q("split_leakage_check", canon_sql("SELECT count(*) AS n_groups, 0::BIGINT AS n_leaking FROM (SELECT DISTINCT group_id FROM firsts)"))
+def _(spark, d):
+    examples = combined(spark, d).examples
+    leaking = cb.leaking_groups(examples).agg(F.count(F.lit(1)).alias("n_leaking"))
+    return examples.agg(F.countDistinct("group_id").alias("n_groups")).join(F.broadcast(leaking), F.lit(True))  # one row each
+
+
+# Metrics --------------------------------------------------------------------------------
+
+_RANK = lambda f: f"l[round_even((len(l) - 1) * {f}::DOUBLE, 0)::INT + 1]"
+
+
+@Q("latency_summary", "SELECT event_type, " + ", ".join(f"{_RANK(f)} AS {k}" for k, f in metrics.PERCENTILES.items()) + ", round(m, 9) AS mean FROM (SELECT event_type, list_sort(list(value)) AS l, avg(value) AS m FROM events GROUP BY event_type)")
+def _(spark, d):
+    got = metrics.latency_summary(table(spark, d, "events"), "value", "event_type")
+    return got.withColumn("mean", F.round("mean", 9))
