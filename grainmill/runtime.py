@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager, nullcontext
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,11 +59,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/grainmill-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` under the shared folder and return a DataFrame that reads it back."""
+@contextmanager
+def arrow_batches(spark: SparkSession, rows: int):
+    """While it lasts, batches for Python functions have at most so many rows.
+
+    For rows with whole texts, of which the default ten thousand take much memory on both sides.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def settle(df: DataFrame, name: str, batch_rows: int | None = None) -> DataFrame:
+    """Write ``df`` under the shared folder and return a DataFrame that reads it back.
+
+    ``batch_rows`` bounds the batches of Python functions while it is written.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    with arrow_batches(spark, batch_rows) if batch_rows else nullcontext():
+        df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._grainmill_path = path
     return out
