@@ -48,6 +48,8 @@ PLACES = BANDS * ROWS
 CHUNK = 1024
 #: Texts of candidate classes are picked out by a broadcast list of up to so many rows.
 BROADCAST_ROWS = 500_000
+#: Rows of a batch that hold a whole text, and that hold two.
+TEXT_ROWS, PAIR_ROWS = 2000, 400
 #: Bits of a rank below the step's number.
 STEP_BITS = 57
 SLICE_BYTES = 2 << 20
@@ -275,7 +277,7 @@ class NearDuplicates:
         head = self.rows.select(*key[:1], "r1", "r2", text_col).withColumnRenamed(key[0], "__id").toDF("__id", "r1", "r2", "__text")
         kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in head.schema.fields[:3])
         schema = f"{kinds}, n long, class binary, bands array<long>, sketch binary"
-        signed = settle(head.mapInArrow(sign(shingle, ["__id", "r1", "r2"]), schema), "signatures")
+        signed = settle(head.mapInArrow(sign(shingle, ["__id", "r1", "r2"]), schema), "signatures", TEXT_ROWS)
         self.signed = signed.select("__id", "r1", "r2", "n", "class")
         one = signed.where("class is not null").groupBy("class").agg(F.min(F.struct("r1", "r2")).alias("row"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
         self.classes = settle(one, "set-classes")
@@ -307,7 +309,7 @@ class NearDuplicates:
         texts = settle(texts.groupBy("class").agg(F.first("text").alias("text")), "texts")
         at = lambda s: texts.select(F.col("class").alias(s), F.col("text").alias(f"t{s}"))
         full = likely.join(at("a"), "a").join(at("b"), "b").select("a", "b", "ta", "tb")
-        links = settle(full.mapInArrow(verified(self.shingle, self.percent), "a binary, b binary"), "links")
+        links = settle(full.mapInArrow(verified(self.shingle, self.percent), "a binary, b binary"), "links", PAIR_ROWS)
         forget(texts, likely, needed)
         return links
 
