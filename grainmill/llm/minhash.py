@@ -13,9 +13,9 @@
 4. Verified links are grouped by union-find: within each partition by a forest in Python,
    across partitions by the star rounds of :mod:`grainmill.operators.components`.
 5. Buckets in which members are still outside the pivot's component are looked at once more:
-   those outside meet all members of other components, in chunks dealt over tasks, and only
-   pairs that pass the sketch test come out. So no two members of a bucket that could link
-   stay uncompared unless they are already in one component.
+   those outside meet all members of other components, in chunks dealt over tasks, which
+   verify on the spot and give a forest of links, not pairs. So no two members of a bucket
+   that could link stay uncompared unless they are already in one component.
 
 At the threshold of 0.8 a pair misses all 32 bands of 4 rows with probability 5e-8, and the
 sketch test (5 standard deviations below the threshold) about as rarely.
@@ -45,7 +45,7 @@ from grainmill.runtime import forget, settle, small_enough
 BANDS, ROWS = 32, 4
 PLACES = BANDS * ROWS
 #: Members of a crowded bucket are dealt into chunks of this size.
-CHUNK = 1024
+CHUNK = 256
 #: Texts of candidate classes are picked out by a broadcast list of up to so many rows.
 BROADCAST_ROWS = 500_000
 #: Rows of a batch that hold a whole text, and that hold two.
@@ -205,9 +205,7 @@ def verified(shingle: int, percent: int):
                     codes = texts.indices.to_numpy()
                     n, links = part.num_rows, []
                     for i, (x, y) in enumerate(zip(codes[:n], codes[n:])):
-                        x, y = sets[x], sets[y]
-                        both = len(np.intersect1d(x, y, assume_unique=True))
-                        if both and 100 * both >= percent * (len(x) + len(y) - both):
+                        if similar(sets[x], sets[y], percent):
                             links.append(i)
                     a, b = part.column(0).to_pylist(), part.column(1).to_pylist()
                     yield _binary_rows(union_find([(a[i], b[i]) for i in links]))
@@ -238,30 +236,59 @@ def _binary_rows(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.binary()) for k in (0, 1)], names=["a", "b"])
 
 
-def outside_pairs(least: int, percent: int):
-    """A chunk of members outside the pivot's component against a chunk of members: the pairs worth verifying."""
+def outside_links(shingle: int, percent: int, least: int):
+    """A chunk of members outside the pivot's component against a chunk of members: links that join components.
+
+    A pair is looked at in the first band it shares alone, told from its sketches: there too
+    one of the two is outside, unless one is the pivot, which has met the other already.
+    Pairs that pass the sketch test are verified here, the likeliest first, unless links
+    found before have joined their components; so at most a link for each component comes out.
+    """
 
     def run(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
-        outside = np.asarray(group.column("outside").combine_chunks())
+        column = lambda c: group.column(c).combine_chunks()
+        outside, loose, n = (np.asarray(column(c)) for c in ("outside", "loose", "n"))
         home, away = np.flatnonzero(outside), np.flatnonzero(~outside)
-        names, parts = (np.array(group.column(c).to_pylist(), dtype=object) for c in ("class", "component"))
-        n = np.asarray(group.column("n").combine_chunks())
-        loose = np.asarray(group.column("loose").combine_chunks())
-        sketch = sketches_of(group.column("sketch").combine_chunks())
-        found = []
-        codes = np.unique(parts, return_inverse=True)[1]
+        names, parts = (np.array(column(c).to_pylist(), dtype=object) for c in ("class", "component"))
+        number, codes = (np.unique(x, return_inverse=True)[1] for x in (names, parts))
+        sketch, band, pairs = sketches_of(column("sketch")), group.column("band")[0].as_py(), []
         for i in home:
             ok = (codes[away] != codes[i]) & (100 * np.minimum(n[away], n[i]) >= percent * np.maximum(n[away], n[i]))
-            ok &= ~loose[away] | (names[away] > names[i])  # two members outside meet twice
+            ok &= ~loose[away] | (number[away] > number[i])  # two members outside meet twice
             j = away[ok]
-            j = j[(sketch[j] == sketch[i]).sum(1) >= least]
-            found += [(names[i], names[k]) for k in j]
+            same = sketch[j] == sketch[i]
+            matches = same.sum(1)
+            fit = (matches >= least) & (same.reshape(-1, BANDS, ROWS).all(2).argmax(1) == band)
+            pairs += [(-int(m), int(i), int(k)) for m, k in zip(matches[fit], j[fit])]
+        if not pairs:
+            return pa.Table.from_batches([_binary_rows([])])
+        pairs.sort()
+        rows = np.unique([k for p in pairs for k in p[1:]])
+        sets = dict(zip(rows.tolist(), shingle_sets(column("text").take(pa.array(rows)), shingle)))
+        joined, found = list(range(len(names))), []
+
+        def find(x: int) -> int:
+            while joined[x] != x:
+                joined[x] = joined[joined[x]]
+                x = joined[x]
+            return x
+
+        for _, i, k in pairs:
+            a, b = find(int(codes[i])), find(int(codes[k]))
+            if a != b and similar(sets[i], sets[k], percent):
+                joined[max(a, b)] = min(a, b)
+                found.append((names[i], names[k]))
         return pa.Table.from_batches([_binary_rows(found)])
 
     return run
 
 
+def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both > 0 and 100 * both >= percent * (len(x) + len(y) - both)
+
+
 class NearDuplicates:
     """Classes of documents and their components.
 
@@ -289,7 +316,7 @@ class NearDuplicates:
         with_pivot = self.members.where(self._sized(F.col("n"), F.col("pivot.n"))).select(F.col("class").alias("a"), F.col("pivot.class").alias("b")).where("a <> b")
         links = self._links(settle(with_pivot.distinct(), "pivot-pairs"))
         parts = settle(connected_components(links), "components")
-        more = self._links(settle(self._left_outside(parts).distinct(), "outside-pairs"))
+        more = self._outside_links(parts)
         if more.take(1):
             parts = settle(connected_components(links.unionByName(more)), "components")
         self.facts = self.classes.select("class", "n").join(parts.withColumnRenamed("node", "class"), "class", "left").select("class", "n", F.coalesce("component", "class").alias("component"))
@@ -303,18 +330,23 @@ class NearDuplicates:
         side = lambda s: self.sketches.select(F.col("class").alias(s), F.col("sketch").alias(f"s{s}"))
         drawn = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "sb")
         likely = settle(drawn.mapInArrow(plausible(self.least), "a binary, b binary"), "likely-pairs")
-        needed = likely.select(F.col("a").alias("class")).union(likely.select("b")).distinct()
-        needed = settle(needed.join(self.classes.select("class", "row"), "class").select("class", "row.r1", "row.r2"), "needed")
-        texts = self.rows.select("r1", "r2", F.col(self.text_col).alias("text")).join(small_enough(needed, BROADCAST_ROWS) or needed, ["r1", "r2"])
-        texts = settle(texts.groupBy("class").agg(F.first("text").alias("text")), "texts")
+        texts = self._texts(likely.select(F.col("a").alias("class")).union(likely.select("b")))
         at = lambda s: texts.select(F.col("class").alias(s), F.col("text").alias(f"t{s}"))
         full = likely.join(at("a"), "a").join(at("b"), "b").select("a", "b", "ta", "tb")
         links = settle(full.mapInArrow(verified(self.shingle, self.percent), "a binary, b binary"), "links", PAIR_ROWS)
-        forget(texts, likely, needed)
+        forget(texts, likely)
         return links
 
-    def _left_outside(self, parts: DataFrame) -> DataFrame:
-        """Pairs of members of one bucket, at least one outside the pivot's component, to verify."""
+    def _texts(self, classes: DataFrame) -> DataFrame:
+        """``class, text``: a text of each class named."""
+        needed = settle(classes.distinct().join(self.classes.select("class", "row"), "class").select("class", "row.r1", "row.r2"), "needed")
+        texts = self.rows.select("r1", "r2", F.col(self.text_col).alias("text")).join(small_enough(needed, BROADCAST_ROWS) or needed, ["r1", "r2"])
+        texts = settle(texts.groupBy("class").agg(F.first("text").alias("text")), "texts")
+        forget(needed)
+        return texts
+
+    def _outside_links(self, parts: DataFrame) -> DataFrame:
+        """Links ``a, b`` between members of one bucket of which at least one is outside the pivot's component."""
         of = parts.select(F.col("node").alias("class"), "component")
         placed = self.members.where("size > 2").join(of, "class", "left").withColumn("component", F.coalesce("component", "class"))
         placed = settle(placed, "placed")
@@ -326,13 +358,16 @@ class NearDuplicates:
         counts = counts.select("band", "value", F.ceil(F.col("outs") / CHUNK).cast("int").alias("hn"), F.ceil(F.col("all") / CHUNK).cast("int").alias("gn"))
         counts = settle(counts, "open-buckets")
         # the pivot has met every member already
-        both = loose.where(F.col("class") != F.col("pivot.class")).join(counts, ["band", "value"]).join(self.sketches.select("class", "sketch"), "class")
+        met = loose.where(F.col("class") != F.col("pivot.class")).join(counts, ["band", "value"]).drop("pivot")
+        met = settle(met, "open-members")
+        both = met.join(self.sketches.select("class", "sketch"), "class").join(self._texts(met.select("class")), "class")
         both = both.withColumn("outside", F.explode(F.when(F.col("loose"), F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(False)))))
         chunk = lambda n: F.pmod(F.xxhash64("class"), n).cast("int")
         both = both.withColumn("mine", F.when(F.col("outside"), chunk(F.col("hn"))).otherwise(chunk(F.col("gn"))))
         both = both.withColumn("other", F.explode(F.sequence(F.lit(0), F.when(F.col("outside"), F.col("gn")).otherwise(F.col("hn")) - 1)))
-        units = both.select("band", "value", F.when(F.col("outside"), F.col("mine")).otherwise(F.col("other")).alias("hi"), F.when(F.col("outside"), F.col("other")).otherwise(F.col("mine")).alias("gi"), "class", "n", "component", "loose", "sketch", "outside")
-        return units.groupBy("band", "value", "hi", "gi").applyInArrow(outside_pairs(self.least, self.percent), "a binary, b binary")
+        units = both.select("band", "value", F.when(F.col("outside"), F.col("mine")).otherwise(F.col("other")).alias("hi"), F.when(F.col("outside"), F.col("other")).otherwise(F.col("mine")).alias("gi"), "class", "n", "component", "loose", "sketch", "text", "outside")
+        found = units.groupBy("band", "value", "hi", "gi").applyInArrow(outside_links(self.shingle, self.percent, self.least), "a binary, b binary")
+        return settle(found, "outside-links", PAIR_ROWS)
 
 
 def near_duplicates(df: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -49,7 +49,7 @@ def chain(rng, steps, n=120):
     return out
 
 
-@pytest.mark.parametrize("size,chunk", [(2, 1024), (5, 4), (2, 3)])
+@pytest.mark.parametrize("size,chunk", [(2, 256), (5, 4), (2, 3)])
 def test_equals_brute_force_on_chains_crowds_and_odd_rows(spark, monkeypatch, size, chunk):
     monkeypatch.setattr(minhash, "CHUNK", chunk)
     rng = random.Random(size * chunk)
