@@ -28,6 +28,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from grainmill.llm.lines import with_row_hash
 from grainmill.runtime import settle
 
 #: A word is a run of characters other than the space and U+0009 to U+000D.
@@ -70,15 +71,15 @@ def golden_step(slots: int) -> int:
 
 
 class Mix:
-    """The parts of a mix: ``documents``, ``sources``, ``schedule`` and what is ``taken``."""
+    """The parts of a mix: ``documents`` (with the columns to ``carry``), ``sources``, ``schedule`` and what is ``taken``."""
 
-    def __init__(self, df: DataFrame, id_col="doc_id", text_col="text", source_col="source", block_words=BLOCK_WORDS, most_repeats=MOST_REPEATS, seed="mix", whole_rows=False):
+    def __init__(self, df: DataFrame, id_col="doc_id", text_col="text", source_col="source", block_words=BLOCK_WORDS, most_repeats=MOST_REPEATS, seed="mix", carry=()):
         self.spark, self.block = df.sparkSession, block_words
         rows = df.select(
             F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("__source"), word_count(text_col).alias("size"),
-            F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)).alias("__h"), *([F.struct(*df.columns).alias("__row")] if whole_rows else []),
+            F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)).alias("__h"), *carry,
         )
-        rows = rows if whole_rows else settle(rows, "mix-sizes")
+        rows = settle(rows, "mix-sizes")
         found = rows.groupBy("__source").agg(F.sum("size")).collect()  # a row for each source
         found.sort(key=lambda r: (r[0] is None, (r[0] or "").encode("utf-8", "surrogatepass")))  # UTF-8 order is code-point order
         sizes = [int(r[1]) for r in found]
@@ -163,13 +164,23 @@ def mix(df: DataFrame, **options) -> DataFrame:
     return Mix(df, **options).taken()
 
 
-def mixed_rows(df: DataFrame, **options) -> DataFrame:
+def mixed_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The mix as whole rows of ``df``: a row for each pass over a document that the mix takes.
 
-    Where a source's target ends inside a document, its last copy is in if at least half of
-    its words are. Documents without words are no part of the mix.
+    The schedule's slots say how many words of a document each pass takes; where the last
+    block of a source ends inside a document, its last copy is in if at least half of its
+    words are. Documents without words are no part of the mix. Only row hashes and sizes
+    meet the schedule; whole rows are shuffled once, to meet the number of their copies.
     """
-    docs = Mix(df, whole_rows=True, **options).documents.where("size > 0 and __at < __stop")
-    passes = docs.select("__row", F.explode(F.expr("sequence(0, cast((__stop - __at - (size + 1) div 2) div source_size as int))")).alias("__pass"), "__stop", "__at", "size", "source_size")
-    inside = F.col("__stop") - F.col("__at") - F.col("__pass") * F.col("source_size")
-    return passes.where(2 * inside >= F.col("size")).select("__row.*")
+    names = [f"c{i}" for i in range(len(df.columns))]
+    plain = with_row_hash(df.toDF(*names), *names)
+    id_, text, source = (names[df.columns.index(c)] for c in (id_col, text_col, source_col))
+    mixed = Mix(plain, id_, text, source, carry=("r1", "r2"), **options)
+    passes = mixed.segments().groupBy("r1", "r2", "__at", "size", "__pass").agg(F.sum("length").alias("__in"))
+    copies = passes.where(2 * F.col("__in") >= F.col("size")).groupBy("r1", "r2").agg(F.count(F.lit(1)).cast("int").alias("__copies"))
+    copies = settle(copies, "mix-copies")
+    # copies of rows alike in every column are counted together, so one of the rows stands for all
+    alike = mixed.documents.groupBy("r1", "r2").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    whole = plain.dropDuplicates(["r1", "r2"]) if alike.take(1) else plain
+    rows = whole.join(copies, ["r1", "r2"]).select(*names, F.explode(F.sequence(F.lit(1), "__copies")).alias("__copy"))
+    return rows.select(names).toDF(*df.columns)
