@@ -20,6 +20,7 @@ each get their row.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -31,6 +32,8 @@ from pyspark.sql import types as T
 from grainmill.llm.arrow import map_texts
 
 BUCKETS = 1 << 16
+#: Gram starts measured at a time; each takes some 40 bytes of working memory.
+PART_STARTS = 1 << 20
 FOLDS = 5
 SAMPLE_PER_LANG, SAMPLE_ROWS = 1200, 12_000
 UNKNOWN = "und"
@@ -67,12 +70,22 @@ def prepared(text: str) -> bytes:
     return b" " + text.lower().encode().translate(_TABLE) + b"  "
 
 
+def pieces(text: str) -> Iterator[bytes]:
+    """The prepared text in parts of bounded size, that overlap so that each gram starts in one of them."""
+    data = prepared(text)
+    for start in range(0, len(data) - 2, PART_STARTS):
+        yield data[start : start + PART_STARTS + 2]
+
+
 def features(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Indices and values of a text's features."""
-    both = np.concatenate(grams(np.frombuffer(prepared(text), np.uint8)))
-    counts = np.bincount(both, minlength=BUCKETS)
+    counts, total = np.zeros(BUCKETS, np.int64), 0
+    for piece in pieces(text):
+        for found in grams(np.frombuffer(piece, np.uint8)):
+            counts += np.bincount(found, minlength=BUCKETS)
+            total += len(found)
     at = np.flatnonzero(counts)
-    return at, counts[at] / len(both)
+    return at, counts[at] / total
 
 
 def train_svm(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, cost: float = 50.0, epochs: int = 12) -> np.ndarray:
@@ -125,24 +138,39 @@ class Model:
 
     def predict(self, texts: pa.Array) -> tuple[list[str], list[float]]:
         langs, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
-        some = [(i, t) for i, t in enumerate(texts.to_pylist()) if t and _LETTER.search(t)] if self.members else []
-        if not some:
+        if not self.members:
             return langs, scores
-        parts = [prepared(t) for _, t in some]
-        sizes = np.array([len(p) for p in parts])
+        sums, starts = np.zeros((len(texts), self.weights.shape[1])), np.zeros(len(texts), np.int64)
+        waiting: list[tuple[int, bytes]] = []
+        room = PART_STARTS
+        for i, value in enumerate(texts):
+            text = value.as_py()
+            if not text or not _LETTER.search(text):
+                continue
+            for piece in pieces(text):
+                if len(piece) > room and waiting:
+                    self._measure(waiting, sums, starts)
+                    waiting, room = [], PART_STARTS
+                waiting.append((i, piece))
+                room -= len(piece)
+        if waiting:
+            self._measure(waiting, sums, starts)
+        for i in np.flatnonzero(starts).tolist():
+            langs[i], scores[i] = self.decide(sums[i] / (2 * starts[i]) + self.weights[BUCKETS])
+        return langs, scores
+
+    def _measure(self, parts: list[tuple[int, bytes]], sums: np.ndarray, starts: np.ndarray) -> None:
+        """Adds to each text's sums of weights and number of gram starts those of its pieces."""
+        of = np.array([i for i, _ in parts])
+        sizes = np.array([len(p) for _, p in parts])
         ends = np.cumsum(sizes)
-        starts = ends - sizes
-        two, three = grams(np.frombuffer(b"".join(parts), np.uint8))
-        margins = np.empty((len(some), self.weights.shape[1]))
-        # the last two starts of a text also see the next one's first bytes: leave them out
-        bounds = np.stack([starts, ends - 2], 1).ravel()[:-1]
+        two, three = grams(np.frombuffer(b"".join(p for _, p in parts), np.uint8))
+        # the last two starts of a piece also see the next one's first bytes: leave them out
+        bounds = np.stack([ends - sizes, ends - 2], 1).ravel()[:-1]
+        np.add.at(starts, of, sizes - 2)
         for k in range(self.weights.shape[1]):
             w = np.ascontiguousarray(self.weights[:BUCKETS, k])
-            sums = np.add.reduceat(w[two] + w[three], bounds)[::2]
-            margins[:, k] = sums / (2 * (sizes - 2)) + self.weights[BUCKETS, k]
-        for (i, _), row in zip(some, margins):
-            langs[i], scores[i] = self.decide(row)
-        return langs, scores
+            np.add.at(sums[:, k], of, np.add.reduceat(w[two] + w[three], bounds)[::2])
 
 
 def _logistic(x: float) -> float:
