@@ -95,3 +95,26 @@ def test_shingle_hashes_tell_windows_apart():
     got = shingle_sets(pa.array(["a b c", "A b", "b c", "c b", "x", None, "ab c"]), 2)
     assert [len(g) for g in got] == [2, 1, 1, 1, 1, 0, 1]
     assert set(got[0]) == {got[1][0], got[2][0]} and len({int(g[0]) for g in got if len(g)} | {int(got[0][1])}) == 5
+
+
+def test_a_pair_is_verified_in_the_first_bucket_it_shares_whatever_its_sketches_say():
+    """The sketches are equal in an earlier band by chance; the pair meets in band 2 alone."""
+    import pyarrow as pa
+
+    text = "a b c d e f g h"
+    bands = [[k * 100 + x for k in range(minhash.BANDS)] for x in (0, 1)]
+    bands[1][2] = bands[0][2]
+
+    def unit(band):
+        rows = [(True, True, b"x", b"x", 0), (False, True, b"y", b"y", 1), (False, True, b"x", b"x", 0)]
+        return pa.table(
+            {
+                "band": pa.array([band] * 3, pa.int32()), "outside": [r[0] for r in rows], "loose": [r[1] for r in rows], "n": pa.array([7] * 3, pa.int64()),
+                "class": pa.array([r[2] for r in rows], pa.binary()), "component": pa.array([r[3] for r in rows], pa.binary()),
+                "sketch": pa.array([bytes(minhash.PLACES)] * 3, pa.binary()), "bands": pa.array([bands[r[4]] for r in rows], pa.list_(pa.int64())), "text": [text] * 3,
+            }
+        )
+
+    run = minhash.outside_links(2, 80, minhash.least_matches(80))
+    assert run(unit(2)).to_pylist() == [{"a": b"x", "b": b"y"}]
+    assert run(unit(0)).num_rows == 0
