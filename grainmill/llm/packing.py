@@ -149,16 +149,20 @@ def plan(counts: dict[int, int], capacity: int) -> dict[str, np.ndarray]:
         def remaining(length: int) -> int:
             return int(left[length]) - uses.get(length, 0)
 
-        def pair(total: int) -> tuple[int, int] | None:
-            """The pair of free lengths with that sum whose longer one is longest."""
+        def pair(total: int, beside: int = 0) -> tuple[int, int] | None:
+            """The pair of free lengths with that sum whose longer one is longest, a piece of length ``beside`` being taken."""
             if total < 2:
                 return None
-            both = free[1:total] & free[total - 1 : 0 : -1]
+            there_still = free
+            if beside and remaining(beside) == 1:
+                there_still = free.copy()
+                there_still[beside] = False
+            both = there_still[1:total] & there_still[total - 1 : 0 : -1]
             half = total // 2
             longer = np.flatnonzero(both[half - 1 + (total % 2) :])
             for k in longer[::-1]:
                 a = half + (total % 2) + int(k)
-                if a != total - a or remaining(a) >= 2:
+                if a != total - a or remaining(a) - (a == beside) >= 2:
                     return a, total - a
             return None
 
@@ -171,10 +175,8 @@ def plan(counts: dict[int, int], capacity: int) -> dict[str, np.ndarray]:
                 a = int(a)
                 if 3 * a < gap:
                     break
-                if found := pair(gap - a):
-                    taken = [a, *found]
-                    if all(taken.count(x) <= remaining(x) for x in taken):
-                        return tuple(taken)
+                if found := pair(gap - a, a):
+                    return a, *found
             return None
 
         take(int(np.flatnonzero(there)[-1]))

@@ -81,3 +81,10 @@ def test_plan_places_every_rank_once_and_prefers_exact_fills():
         assert len(fill) <= first_fit_decreasing(lengths, capacity)
         if capacity == 100:  # short pieces leave no gap but the last
             assert len(fill) <= math.ceil(lengths.sum() / capacity) + 1
+
+
+def test_a_triple_is_found_when_the_longest_pair_beside_a_length_reuses_it():
+    """A gap of 52: beside 22 the longest pair is 22 and 8, but there is one 22; 16 and 14 fill it."""
+    got = plan({100: 1, 14: 1, 29: 1, 16: 1, 33: 1, 22: 1, 8: 1, 4: 1}, 152)
+    first = {int(length): int(n) for length, n, sequence in zip(got["length"], got["uses"], got["sequence"]) if sequence == 0}
+    assert first == {100: 1, 22: 1, 16: 1, 14: 1}
