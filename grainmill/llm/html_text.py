@@ -5,9 +5,10 @@ menus, footers, forms, and boxes whose class, id or role says advert, comments,
 so on) are set aside. Every paragraph-like block then gives points to its ancestors: one,
 one for each comma, and one for each hundred characters up to three; the parent gets all,
 the grandparent half, others less with distance. A container's points are discounted by
-the share of its text that lies in links. The best container is kept, with those siblings
-that score well enough themselves or are long paragraphs with few links; the text of what
-is kept comes in page order, a block after another.
+the share of its text that lies in links. The best container is kept, with whatever lies
+beside it and has few links or scores well enough itself; the same is done one level up
+for as long as a container there holds article text, too. The text of what is kept comes in
+page order, a block after another.
 
 Defined results: null or empty html, and pages with no text outside what is set aside,
 give an empty text. Character references are decoded once. White space inside a block
@@ -52,6 +53,9 @@ UNLIKELY = frozenset(
 #: And those that say the box may hold it nevertheless.
 LIKELY = frozenset("article body content entry main post story text".split())
 
+#: Beside the best container: the share of linked text from which a box is left, unless it scores this share of the best.
+MOST_LINKED, LEAST_SCORE = 0.25, 0.2
+
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
 _MARKS = re.compile(r"""(?:^|[\s"'/])(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _WORD = re.compile(r"[a-z]+")
@@ -196,8 +200,8 @@ def density(node: Node) -> float:
     return node.linked / node.text if node.text else 0.0
 
 
-def chosen(root: Node) -> list[Node]:
-    """The best container and the siblings kept with it."""
+def chosen(root: Node) -> list[Node | str | None]:
+    """The best container and what is kept beside it, in page order; None ends a block."""
     best, most, stack = None, 0.0, [root]
     while stack:
         n = stack.pop()
@@ -211,20 +215,50 @@ def chosen(root: Node) -> list[Node]:
         return [root]
     while best.parent is not None and best.tag not in BLOCK:
         best = best.parent
-    if best.parent is None:
-        return [best]
-    keep = []
-    for c in best.parent.children:
-        if c is best:
-            keep.append(c)
-        elif isinstance(c, Node) and not c.aside and c.text:
-            long = c.tag == "p" and (c.text > 80 and density(c) < 0.25)
-            if long or c.score * (1 - density(c)) >= max(10.0, 0.2 * most):
-                keep.append(c)
-    return keep
-
-
-def blocks(nodes: list[Node]) -> list[str]:
+    kept: list[Node | str | None] = [best]
+    wide, at = kept, best
+    while at.parent is not None:
+        before, after, found = beside(at, LEAST_SCORE * most)
+        wide = [None, *before, None, *wide, None, *after, None]
+        if found or at is best:
+            kept = wide
+        at = at.parent
+    return kept
+
+
+def beside(at: Node, least: float) -> tuple[list[Node | str], list[Node | str], bool]:
+    """What is kept before and after a node in its parent, and whether a container in it scores ``least``.
+
+    A run of strings and inline elements is kept or left as one.
+    """
+    sides: tuple[list, list] = ([], [])
+    run: list[Node | str] = []
+    side, found = 0, False
+
+    def end() -> None:
+        text = sum(len(c.strip()) if isinstance(c, str) else c.text for c in run)
+        if text and sum(c.linked for c in run if isinstance(c, Node)) < MOST_LINKED * text:
+            sides[side].extend(run)
+        run.clear()
+
+    for c in at.parent.children:
+        if isinstance(c, str) or c.tag not in BLOCK and c is not at:
+            if isinstance(c, str) or not c.aside:
+                run.append(c)
+            continue
+        end()
+        if c is at:
+            side = 1
+        elif not c.aside and c.text:
+            strong = c.score * (1 - density(c)) >= least
+            found |= strong
+            if strong or density(c) < MOST_LINKED:
+                sides[side].append(c)
+    end()
+    return *sides, found
+
+
+def blocks(nodes: list[Node | str | None]) -> list[str]:
     """Text of each block in page order, its white space reduced."""
     out: list[str] = []
     run: list[str] = []

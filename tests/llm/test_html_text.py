@@ -25,6 +25,22 @@ def test_siblings_and_link_boxes():
     assert text.count("long sentence") == 24 and "closing" in text and "link" not in text
 
 
+def test_parts_beside_the_largest_are_kept():
+    big = "<section>" + "<p>a long, long, sentence, with commas, and more</p>" * 9 + "</section>"
+    links = "<div><a href=1>elsewhere, one</a> <a href=2>elsewhere, two</a></div>"
+    small = "<section><h2>Small part</h2><p>short one</p><p>short two</p></section>"
+    page = f"<body><div><h1>Title</h1><p>Lead.</p>{big}<ul><li>item</li></ul><table><tr><td>cell</td></tr></table>{small}loose <b>words</b>{links}</div></body>"
+    text = main_text(page)
+    assert text.startswith("Title Lead. a long,") and text.endswith("item cell Small part short one short two loose words") and "elsewhere" not in text
+
+
+def test_article_text_one_level_up_is_kept():
+    para = "<p>a long, long, sentence, with commas, and more</p>"
+    page = f"<body><div><div><section>{para * 9}</section></div><div><h2>Next</h2><section>{para * 6}</section></div></div><div><a href=1>elsewhere</a></div></body>"
+    text = main_text(page)
+    assert text.count("a long") == 15 and "Next" in text and "elsewhere" not in text
+
+
 def test_rows(spark, tiny):
     rows = spark.createDataFrame([(1, "u", None, 1), (1, "u", "", 1), (2, None, "<p>x</p>" * 20000, 1), (None, "v", "<script>x", 1)], "page_id long, url string, html string, text int")
     got = extract_pages(rows).collect()
