@@ -65,3 +65,15 @@ def test_common_lines_deplete_within_a_host_only(spark):
     kept = {r.doc_id: r.kept for r in judge(docs, max_docs=4).collect()}
     assert kept == {0: False, 1: False, 2: False, 3: False, 4: False, 9: True}
     assert hashlib.sha256(b"").hexdigest()
+
+
+def test_quality_equals_its_sql_where_lines_pass_the_limit(spark, tmp_path):
+    """101 documents of a host hold a line, just above the limit, and 100 of another, at it."""
+    own = "one two three four five six seven eight nine ten"
+    rows = [(i, f"{own} {i}\n Shared line \nshared LINE" + "\nlong common footer of this host" * (i % 3), "a") for i in range(101)]
+    rows += [(200 + i, f"{own} {i}\nshared line", "b") for i in range(100)] + [(900, f"{own}\nshared line", None), (901, None, "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    docs.write.parquet(f"{tmp_path}/plain")
+    spark.read.parquet(f"{tmp_path}/plain").toPandas().to_parquet(f"{tmp_path}/documents.parquet")
+    assert_same(judge(docs), ORACLES["op4_quality_rules"], str(tmp_path))
+    assert sum(r.n_lines_removed for r in judge(docs).collect()) == 202
