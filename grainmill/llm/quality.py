@@ -71,16 +71,21 @@ def base_metrics(text: Column) -> dict[str, Column]:
     }
 
 
-def judge(
-    df: DataFrame, max_docs: int = MAX_DOCS_PER_HOST, least_left: float = LEAST_LEFT,
-    id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
-) -> DataFrame:
-    """Metrics and verdict of every document: ``id_col``, the base metrics, ``n_lines_removed, share_left, base_failed, kept``."""
+def _own(df: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFrame:
+    """``doc_id, text, host`` with the hash ``r1, r2`` of the three."""
     own = df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.col(host_col).cast("string").alias("host"))
-    own = with_row_hash(own, "doc_id", "text", "host")
-    keyed = F.transform(F.split("text", "\n"), lambda x: bind(line_key(x), lambda k: F.struct(key_hash(k).alias("k"), F.length(k).alias("chars"))))
-    keyed = F.filter(keyed, lambda x: x["chars"] > 0)
+    return with_row_hash(own, "doc_id", "text", "host")
 
+
+def _keyed(text: str) -> Column:
+    """Hash and length of each line of a text that isn't blank."""
+    keyed = F.transform(F.split(text, "\n"), lambda x: bind(line_key(x), lambda k: F.struct(key_hash(k).alias("k"), F.length(k).alias("chars"))))
+    return F.filter(keyed, lambda x: x["chars"] > 0)
+
+
+def _hits(own: DataFrame, max_docs: int) -> DataFrame:
+    """``r1, r2`` of the rows that hold common lines of their host, with their lines, characters and distinct keys ``__gone``."""
+    keyed = _keyed("text")
     distinct = own.select("host", F.explode(F.array_distinct(F.transform(keyed, lambda x: x["k"]))).alias("k"))
     counts = distinct.groupBy("host", "k.k1", "k.k2").agg(F.count(F.lit(1)).alias("n_docs"))
     common = settle(counts.where(F.col("n_docs") > max_docs).select(F.col("host").alias("__host"), "k1", "k2"), "common-lines")
@@ -88,13 +93,36 @@ def judge(
     lines = own.select("r1", "r2", "host", F.explode(keyed).alias("x")).select("r1", "r2", "host", "x.k.k1", "x.k.k2", "x.chars")
     near = small_enough(common, BROADCAST_KEYS) or common
     hit = (lines["k1"] == near["k1"]) & (lines["k2"] == near["k2"]) & lines["host"].eqNullSafe(near["__host"])
-    hits = lines.join(near, hit).groupBy("r1", "r2").agg(F.count(F.lit(1)).alias("__lines"), F.sum("chars").alias("__chars"))
+    gone = F.collect_set(F.struct(lines["k1"], lines["k2"])).alias("__gone")
+    return lines.join(near, hit).groupBy("r1", "r2").agg(F.count(F.lit(1)).alias("__lines"), F.sum("chars").alias("__chars"), gone)
+
 
-    total = F.aggregate(F.transform(keyed, lambda x: x["chars"].cast("long")), F.lit(0).cast("long"), lambda a, c: a + c)
+def without_common_lines(
+    df: DataFrame, max_docs: int = MAX_DOCS_PER_HOST, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source"
+) -> DataFrame:
+    """The rows of ``df``, all columns, their texts without the lines that :func:`judge` counts as removed. A null text stays null."""
+    names = [f"c{i}" for i in range(len(df.columns))]
+    id_, text, host = (names[df.columns.index(c)] for c in (id_col, text_col, host_col))
+    plain = df.toDF(*names)
+    gone = settle(_hits(_own(plain, id_, text, host), max_docs).select("r1", "r2", "__gone"), "gone-lines")
+    marked = plain.withColumns({"__text": F.coalesce(text, F.lit("")), "__host": F.col(host).cast("string")})
+    marked = with_row_hash(marked, id_, "__text", "__host").join(gone, ["r1", "r2"], "left")
+    left = F.array_join(F.filter(F.split(text, "\n"), lambda x: ~F.array_contains("__gone", key_hash(line_key(x)))), "\n")
+    kept = F.when(F.col("__gone").isNull(), F.col(text)).otherwise(left).alias(text)
+    return marked.select(*[kept if n == text else n for n in names]).toDF(*df.columns)
+
+
+def judge(
+    df: DataFrame, max_docs: int = MAX_DOCS_PER_HOST, least_left: float = LEAST_LEFT,
+    id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
+) -> DataFrame:
+    """Metrics and verdict of every document: ``id_col``, the base metrics, ``n_lines_removed, share_left, base_failed, kept``."""
+    own = _own(df, id_col, text_col, host_col)
+    total = F.aggregate(F.transform(_keyed("text"), lambda x: x["chars"].cast("long")), F.lit(0).cast("long"), lambda a, c: a + c)
     slim = own.select("doc_id", "r1", "r2", total.alias("__total"), *[c.alias(n) for n, c in base_metrics(F.col("text")).items()])
     # rows alike in id, host and text have one hash and their hits are summed over all of them
     alike = own.groupBy("r1", "r2").agg(F.count(F.lit(1)).alias("__rows")).where("__rows > 1")
-    found = hits.join(alike, ["r1", "r2"], "left").select(
+    found = _hits(own, max_docs).join(alike, ["r1", "r2"], "left").select(
         "r1", "r2", (F.col("__lines") / F.coalesce("__rows", F.lit(1))).cast("long").alias("__lines"), (F.col("__chars") / F.coalesce("__rows", F.lit(1))).cast("long").alias("__chars")
     )
     out = slim.join(settle(found, "removed-lines"), ["r1", "r2"], "left")

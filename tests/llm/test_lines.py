@@ -6,7 +6,7 @@ import pytest
 
 from grainmill.llm.line_dedup import dedup_lines, without_frequent_lines
 from grainmill.llm.oracles import ORACLES
-from grainmill.llm.quality import judge
+from grainmill.llm.quality import judge, without_common_lines
 from grainmill.llm.queries import QUERIES
 from tests.oracle import assert_same
 
@@ -77,3 +77,15 @@ def test_quality_equals_its_sql_where_lines_pass_the_limit(spark, tmp_path):
     spark.read.parquet(f"{tmp_path}/plain").toPandas().to_parquet(f"{tmp_path}/documents.parquet")
     assert_same(judge(docs), ORACLES["op4_quality_rules"], str(tmp_path))
     assert sum(r.n_lines_removed for r in judge(docs).collect()) == 202
+
+
+def test_common_lines_are_taken_out_of_the_texts(spark):
+    docs = [(*r, "h", 1) for r in ODD] + [(20, "Same\n\nown\n same", None, 2), (21, "same\nx", None, 3), (22, "same\nx", "h", 4)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string, r1 int")
+    held = Counter((h, k) for _, t, h, _ in docs for k in {low(x.strip(S)) for x in (t or "").split("\n")} if k)
+    cut = lambda t, h: "\n".join(x for x in t.split("\n") if held[h, low(x.strip(S))] < 2)
+    got = without_common_lines(df, max_docs=1)
+    assert got.columns == df.columns
+    assert sorted(str(tuple(r)) for r in got.collect()) == sorted(str((i, None if t is None else cut(t, h), h, n)) for i, t, h, n in docs)
+    removed = {r.doc_id: r.n_lines_removed for r in judge(df, max_docs=1).collect()}
+    assert removed[20] == 2 and removed[21] == 1 and removed[22] == 1
