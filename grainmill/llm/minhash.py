@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grainmill.llm.arrow import slices
+from grainmill.llm.arrow import bound_batches, release, slices
 from grainmill.llm.lines import with_row_hash
 from grainmill.operators.components import connected_components
 from grainmill.runtime import forget, settle, small_enough
@@ -52,7 +52,7 @@ BROADCAST_ROWS = 500_000
 TEXT_ROWS, PAIR_ROWS = 2000, 400
 #: Bits of a rank below the step's number.
 STEP_BITS = 57
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _U = np.uint64
 
@@ -155,6 +155,8 @@ def sign(shingle: int, keep: list[str]):
                         ],
                         names=[*keep, "n", "class", "bands", "sketch"],
                     )
+                    del sets, full, marks, bands, sketch, part
+                release()
 
     return run
 
@@ -209,6 +211,8 @@ def verified(shingle: int, percent: int):
                             links.append(i)
                     a, b = part.column(0).to_pylist(), part.column(1).to_pylist()
                     yield _binary_rows(union_find([(a[i], b[i]) for i in links]))
+                    del sets, texts, part
+                release()
 
     return run
 
@@ -300,6 +304,7 @@ class NearDuplicates:
     def __init__(self, df: DataFrame, shingle: int, percent: int, key: list[str], text_col: str):
         self.shingle, self.percent, self.text_col = shingle, percent, text_col
         self.least = least_matches(percent)
+        bound_batches(df.sparkSession)
         #: Rows by which a text is found again: 128 bits of the key's columns.
         self.rows = with_row_hash(df, *key)
         head = self.rows.select(*key[:1], "r1", "r2", text_col).withColumnRenamed(key[0], "__id").toDF("__id", "r1", "r2", "__text")
