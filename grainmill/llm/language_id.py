@@ -8,8 +8,9 @@ All machines are trained here, by dual coordinate descent on a bounded sample.
 
 Training rows: ``lang`` not null, and crc32 of the id as text not divisible by ``FOLDS``.
 The sample takes about ``SAMPLE_PER_LANG`` rows of each language by a hash of the id, and
-no more than ``SAMPLE_ROWS`` in all, whatever the table's size; their hashed features, not
-their texts, go to the driver. Prediction covers every row, on whole texts, and uses
+about ``SAMPLE_ROWS`` in all, whatever the table's size; their hashed features, not their
+texts, go to the driver. If those are more than ``SAMPLE_FEATURES`` in all (8 bytes each),
+the sample shrinks, alike for each language, until they fit; its texts stay whole. Prediction covers every row, on whole texts, and uses
 nothing but the text.
 
 Edge cases: a null text, or one without a letter, is ``und`` with score 0. With no
@@ -19,23 +20,28 @@ each get their row.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from grainmill.llm.arrow import map_texts
+from grainmill.llm.arrow import bound_batches, map_texts, release, slices
+from grainmill.runtime import forget, settle
 
 BUCKETS = 1 << 16
 #: Gram starts measured at a time; each takes some 40 bytes of working memory.
-PART_STARTS = 1 << 20
+PART_STARTS = 1 << 18
 FOLDS = 5
-SAMPLE_PER_LANG, SAMPLE_ROWS = 1200, 12_000
+SAMPLE_PER_LANG, SAMPLE_ROWS, SAMPLE_FEATURES = 1200, 12_000, 6_000_000
+#: Parts of the sample by whose features it is cut; a row for each goes to the driver.
+DRAWS = 1024
+#: Rows of a batch while texts are measured or filtered.
+TEXT_ROWS = 2000
 UNKNOWN = "und"
 
 #: Family of each language code. Other codes form a family of their own.
@@ -52,7 +58,7 @@ FAMILIES = {
 }
 FAMILY = {code: family for family, codes in FAMILIES.items() for code in codes.split()}
 
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 #: ASCII without letters becomes a space; bytes of other characters stay.
 _TABLE = bytes(b if b >= 0x80 or chr(b).isalpha() else 0x20 for b in range(256))
 
@@ -191,16 +197,28 @@ def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     each = min(SAMPLE_PER_LANG, SAMPLE_ROWS // len(counts))
     draw = F.pmod(F.xxhash64(F.lit("language sample"), F.col(id_col).cast("string")), F.lit(1 << 40)) / float(1 << 40)
     share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, each / n))])
-    sample = rows.where(draw < share[F.col(lang_col)])
+    # a row's draw as a part of its language's share
+    part = F.floor(draw / share[F.col(lang_col)] * DRAWS).cast("int")
+    sample = rows.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), part.alias("part")).where(F.col("part") < DRAWS)
 
     def measured(texts: pa.Array) -> dict:
         found = [features(t) for t in texts.to_pylist()]
         return {"at": [a.astype(np.int32) for a, _ in found], "value": [v.astype(np.float32) for _, v in found]}
 
     fields = [T.StructField("at", T.ArrayType(T.IntegerType())), T.StructField("value", T.ArrayType(T.FloatType()))]
-    got = map_texts(sample, [id_col, lang_col], text_col, measured, fields).toArrow()
-    order = np.argsort(np.array([str(x) for x in got.column(id_col).to_pylist()]), kind="stable")
-    lang = np.array(got.column(lang_col).to_pylist(), dtype=object)[order]
+    drawn = settle(map_texts(sample, ["id", "lang", "part"], "text", measured, fields), "language-sample", TEXT_ROWS)
+    stop, room = DRAWS, SAMPLE_FEATURES
+    for r in sorted(drawn.groupBy("part").agg(F.sum(F.size("at")).alias("n")).collect()):  # DRAWS rows at most
+        room -= r.n
+        if room < 0:
+            stop = r.part
+            break
+    got = drawn.where(F.col("part") < stop).select("id", "lang", "at", "value").toArrow()
+    forget(drawn)
+    if not got.num_rows:
+        return Model(np.zeros((BUCKETS + 1, 0)), [], [])
+    order = np.argsort(np.array([str(x) for x in got.column("id").to_pylist()]), kind="stable")
+    lang = np.array(got.column("lang").to_pylist(), dtype=object)[order]
     at, value = got.column("at").combine_chunks(), got.column("value").combine_chunks()
     rows_ = [(at[int(i)].values.to_numpy(), value[int(i)].values.to_numpy().astype(float)) for i in order]
     rows_ = [(a, v * 30) for a, v in rows_]  # shares are small: bring margins to about one
@@ -242,10 +260,22 @@ def identify(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
 
 def accept(df: DataFrame, model: Model, least_score: float, text_col: str = "text") -> DataFrame:
-    """The rows, with all their columns, whose text is in a known language with at least that score."""
+    """The rows, with all their columns, whose text is in a known language with at least that score.
+
+    Rows pass through Python in bounded batches and are filtered there: that costs no shuffle of texts.
+    """
     own = df.columns
     inner = df.toDF(*[f"c{i}" for i in range(len(own))])
-    text = f"c{own.index(text_col)}"
-    known = map_texts(inner, inner.columns, text, _predictor(df, model), PREDICTION)
-    kept = known.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score))
-    return kept.select(inner.columns).toDF(*own)
+    at, shared = own.index(text_col), df.sparkSession.sparkContext.broadcast(model)
+
+    def kept(batches):
+        for batch in batches:
+            for part in slices(batch, at):
+                langs, scores = shared.value.predict(part.column(at))
+                fit = [lang != UNKNOWN and score >= least_score for lang, score in zip(langs, scores)]
+                yield part if all(fit) else part.filter(pa.array(fit, pa.bool_()))
+                del part
+            release()
+
+    bound_batches(df.sparkSession)
+    return settle(inner.mapInArrow(kept, inner.schema), "accepted", TEXT_ROWS).toDF(*own)

@@ -1,3 +1,4 @@
+from grainmill.llm import language_id
 from grainmill.llm.language_id import accept, identify, train
 
 
@@ -24,3 +25,22 @@ def test_predictions_do_not_depend_on_id_lang_or_source(spark, small):
     swapped = docs.selectExpr("doc_id + 7 as doc_id", "text", "'zz' as lang", "null as source")
     b = identify(swapped, model).join(swapped.select("doc_id", "text"), "doc_id").collect()
     assert all(a[r.text] == r.lang_pred for r in b)
+
+
+def test_a_text_without_a_letter_is_und(spark, small):
+    model = train(spark.read.parquet(f"{small}/documents.parquet"))
+    texts = ["½ ² 12", "Ⅷ ① ⅓", "_ - _", "\u0301\u0308", "日", "ʰ", "x"]
+    odd = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r.lang_pred == "und" for r in sorted(identify(odd, model).collect())] == [True] * 4 + [False] * 3
+    assert accept(odd, model, 0.0).count() == 3
+
+
+def test_the_sample_shrinks_until_its_features_fit(spark, small, monkeypatch):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    seen, fit = [], language_id.train_svm
+    monkeypatch.setattr(language_id, "train_svm", lambda rows, y, **k: (seen.append(sum(len(a) for a, _ in rows)), fit(rows, y, **k))[1])
+    monkeypatch.setattr(language_id, "SAMPLE_FEATURES", 60_000)
+    got = identify(docs, train(docs)).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
+    assert 30_000 < max(seen) <= 60_000 and sum(r.lang == r.lang_pred for r in got) / len(got) > 0.9
+    monkeypatch.setattr(language_id, "SAMPLE_FEATURES", 0)
+    assert train(docs).members == {}
