@@ -6,9 +6,12 @@ pieces of it. Packing works on the histogram of piece lengths, which has at most
 the longest length left opens a sequence; single lengths, then pairs, then triples that
 exactly fill the gap are looked up and consumed under their availability counts; where
 there are none the longest length that fits goes in and the search repeats. One pattern is
-used as many times as the counts allow. Pieces find their place by their rank within their
-length, counted in salted groups, so that a length which a third of all pieces share is
-dealt over many tasks. No text or id is shuffled.
+used as many times as the counts allow. The index of length sums isn't stored: a mask of
+the lengths that are left, laid over itself in reverse, shows all pairs with a given sum at
+once. Residuals are fitted from the sequence's side, the longest piece that fits into the
+one open gap, not from the piece's side into the tightest of many gaps. Pieces find their
+place by their rank within their length, counted in salted groups, so that a length which a
+third of all pieces share is dealt over many tasks. No text or id is shuffled.
 
 Defined results: a null or empty text is a piece of the end id alone; repeated rows are
 pieces of their own; an empty table gives no rows; other columns are ignored. Reruns give
@@ -24,6 +27,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,15 +35,21 @@ from pyspark.sql import types as T
 from grainmill.llm.arrow import map_texts
 from grainmill.runtime import settle
 
-#: Words whose ids a worker remembers; beyond it the cache starts afresh.
-CACHE_ENTRIES = 700_000
+#: Words whose ids a worker remembers, at some 30 bytes each; beyond it the memory starts afresh.
+CACHE_WORDS = 700_000
+#: Rows of a batch while texts are cut.
+PIECE_ROWS = 2000
+#: Words handed to the library at a time.
+CALL_WORDS = 4096
 
 
 class WordIds:
     """Token ids of whole texts under a vocabulary whose tokens never cross white space.
 
     Such a vocabulary drops white space before it merges, so a text's ids are those of its
-    words in a row, and each distinct word of a batch is encoded once.
+    words in a row, and each distinct word is encoded once for as long as it is remembered.
+    What is remembered stands in four flat arrays: words by 128 bits of a hash, in order of
+    the first 64, and where their ids begin in one array of all ids.
     """
 
     def __init__(self, path: str):
@@ -47,23 +57,51 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.cache: dict[str, bytes] = {"": b""}
-
-    def encode(self, words: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each word."""
-        cache = self.cache
-        if len(cache) > CACHE_ENTRIES:
-            cache.clear()
-            cache[""] = b""
-        # a letter run and the mark behind it are tokens of their own
-        stems = [w[:-1] if w[-1:] in (",", ".") and w[:-1].isalpha() else w for w in words]
-        missing = list({w for w in (*stems, ",", ".") if w not in cache})
-        for start in range(0, len(missing), 20_000):
-            part = missing[start : start + 20_000]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                cache[w] = np.array(e.ids, "<u4").tobytes()
-        ends = {",": cache[","], ".": cache["."]}
-        return [cache[s] if len(s) == len(w) else cache[s] + ends[w[-1]] for s, w in zip(stems, words)]
+        self.forget()
+
+    def forget(self) -> None:
+        self.key, self.check = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.start, self.size = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.known = np.zeros(0, "<u4")
+
+    def letters(self, stem: str) -> bool:
+        """Whether a stem stays letters alone when the vocabulary has normalised it; some letters become a letter and a mark."""
+        return stem.isalpha() and (stem.isascii() or self.tokenizer.normalizer is None or self.tokenizer.normalizer.normalize_str(stem).isalpha())
+
+    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """An array of ids, and where in it each word's begin and how many they are."""
+        if len(self.key) > CACHE_WORDS:
+            self.forget()
+        hashes = np.frombuffer(b"".join(xxhash.xxh3_128_digest(w.encode()) for w in words), ">u8").reshape(-1, 2).astype(np.uint64)
+        at = self._places(hashes)
+        missing = np.flatnonzero(at < 0)
+        if len(missing):
+            missing = missing[np.unique(hashes[missing], axis=0, return_index=True)[1]]
+            ids: list[list[int]] = []
+            for start in range(0, len(missing), CALL_WORDS):
+                part = [words[i] for i in missing[start : start + CALL_WORDS]]
+                ids += [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+            size = np.fromiter(map(len, ids), np.int32, len(ids))
+            start = len(self.known) + np.cumsum(size, dtype=np.int64) - size
+            self.known = np.concatenate([self.known, np.fromiter((x for e in ids for x in e), "<u4", int(size.sum()))])
+            key = np.concatenate([self.key, hashes[missing, 0]])
+            order = np.argsort(key, kind="stable")
+            self.key, self.check = key[order], np.concatenate([self.check, hashes[missing, 1]])[order]
+            self.start, self.size = np.concatenate([self.start, start])[order], np.concatenate([self.size, size])[order]
+            at = self._places(hashes)
+        return self.known, self.start[at], self.size[at].astype(np.int64)
+
+    def _places(self, hashes: np.ndarray) -> np.ndarray:
+        """Where each hash is remembered; -1 if it isn't."""
+        at = np.searchsorted(self.key, hashes[:, 0])
+        out = np.full(len(hashes), -1)
+        for step in range(2):  # words alike in the first 64 bits stand side by side
+            there = at + step < len(self.key)
+            k = np.where(there, at + step, 0)
+            if len(self.key):
+                hit = there & (self.key[k] == hashes[:, 0]) & (self.check[k] == hashes[:, 1])
+                out[hit] = k[hit]
+        return out
 
     def ids(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of each text; none for null."""
@@ -72,20 +110,22 @@ class WordIds:
             texts = pc.ascii_lower(texts)
         words = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
         coded = words.flatten().dictionary_encode()
-        known = self.encode(coded.dictionary.to_pylist())
-        flat = np.frombuffer(b"".join(known), "<u4")
-        size = np.array([len(b) // 4 for b in known], np.int64)
-        first = np.cumsum(size) - size
-        codes = coded.indices.to_numpy()
-        bounds = words.offsets.to_numpy()
+        codes, bounds = coded.indices.to_numpy(), words.offsets.to_numpy()
+        distinct = coded.dictionary.to_pylist()
+        # a letter run and the mark behind it are tokens of their own
+        cut = np.array([w[-1:] in (",", ".") and self.letters(w[:-1]) for w in distinct], bool)
+        parts = [w[:-1] if c else w for w, c in zip(distinct, cut)]
+        known, first, size = self.encode([*parts, ",", "."])
+        mark = np.array([w[-1:] == "." for w in distinct], np.int64) + len(distinct)
         bounds = bounds - bounds[0]
         out = []
         for a, b in zip(bounds[:-1], bounds[1:]):
             c = codes[a:b]
-            n = size[c]
-            total = int(n.sum())
-            at = np.repeat(first[c] - (np.cumsum(n) - n), n) + np.arange(total)
-            out.append(flat[at])
+            # each word's ids, and those of its mark
+            begin = np.stack([first[c], first[mark[c]]], 1).ravel()
+            n = np.stack([size[c], np.where(cut[c], size[mark[c]], 0)], 1).ravel()
+            at = np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+            out.append(known[at])
         return out
 
 
@@ -246,7 +286,7 @@ def pack(pieces: DataFrame, capacity: int, id_col: str = "doc_id") -> DataFrame:
 
 def pack_documents(df: DataFrame, vocabulary: str, capacity: int, end_id: int = 1, with_ids: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Cut and pack all texts; a row for each piece."""
-    return pack(settle(cut_pieces(df, vocabulary, capacity, end_id, with_ids, id_col, text_col), "pieces"), capacity, id_col)
+    return pack(settle(cut_pieces(df, vocabulary, capacity, end_id, with_ids, id_col, text_col), "pieces", PIECE_ROWS), capacity, id_col)
 
 
 def assemble(packed: DataFrame) -> DataFrame:

@@ -1,11 +1,14 @@
 import math
+import random
 import zlib
 from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from tokenizers import Tokenizer
 
+from grainmill.llm import packing
 from grainmill.llm.packing import assemble, pack_documents, plan
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -43,6 +46,19 @@ def test_pieces_equal_the_library_and_fill_sequences(spark, small):
     assert sequences <= math.ceil(tokens / 4096) + 1
 
 
+def test_ids_of_random_texts_equal_the_library_whatever_is_remembered(monkeypatch):
+    library, rng = Tokenizer.from_file(PATH), random.Random(5)
+    pool = ["İ,", "İ.", "क़,", "a", "B", "é", "K", "K", "ß", "ñ,", "'s", "don't", "1", "½", "x.", ",", ".", " ", " ", "\t", "\n", "\r", "\xa0", "<|startoftext|>", "<", "|", "ʼn", "ά", "ͅ", "̈", "한", "ﬁ,", "𝒳,", ""]
+    texts = ["".join(rng.choice(pool) for _ in range(rng.randint(0, 12))) for _ in range(6000)]
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    for most in (700_000, 100):
+        monkeypatch.setattr(packing, "CACHE_WORDS", most)
+        words = packing.WordIds(PATH)
+        got = [ids.tolist() for start in range(0, 6000, 500) for ids in words.ids(pa.array(texts[start : start + 500]))]
+        assert got == want
+    assert words.ids(pa.array([], pa.string())) == []
+
+
 def test_assembled_ids_repeats_and_an_empty_table(spark):
     docs = spark.createDataFrame([(1, "a b c"), (1, "a b c"), (None, "d")], "doc_id long, text string")
     packed = pack_documents(docs, PATH, 4, with_ids=True)
