@@ -2,19 +2,26 @@
 
 A page is read into a tree of elements. Subtrees that can't be the article (scripts,
 menus, footers, forms, and boxes whose class, id or role says advert, comments, notice and
-so on) are set aside. Every paragraph-like block then gives points to its ancestors: one,
-one for each comma, and one for each hundred characters up to three; the parent gets all,
-the grandparent half, others less with distance. A container's points are discounted by
-the share of its text that lies in links. The best container is kept, with whatever lies
-beside it and has few links or scores well enough itself; the same is done one level up
-for as long as a container there holds article text, too. The text of what is kept comes in
-page order, a block after another.
+so on) are set aside. Every paragraph-like block then gives points to its container: one,
+one for each comma, and one for each hundred characters up to three; the container passes
+half of its points on to the one around it, and so on. A container's points are discounted
+by the share of its text that lies in links. The best container is kept; where it lies in
+an ``article`` or ``main`` element, that is kept as a whole. With it is kept whatever lies
+beside it and has few links or scores well enough itself (beside an ``article``: what
+scores well enough, headings, and other articles); the same is done one level up for as
+long as a container there holds article text, too. The text of what is kept comes in page
+order, a block after another.
+
+Reading and scoring take time in proportion to the page: points, lengths and commas are
+carried up once, a tag's attributes are read one by one, and an end tag looks for its
+element among the last ``LOOK_BACK`` open ones.
 
 Defined results: null or empty html, and pages with no text outside what is set aside,
 give an empty text. Character references are decoded once. White space inside a block
 becomes one space (a line break element counts as white space), blocks are joined by one
 space. Unclosed and misnested tags are accepted, unclosed raw text elements end with the
-page. Repeated rows each get their row; other columns are ignored.
+page, a quote that never closes is no quote. Repeated rows each get their row; other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -44,58 +51,87 @@ PARAGRAPH = frozenset("p pre blockquote td li dd h1 h2 h3 h4 h5 h6".split())
 CLOSED_BY_SAME = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table", "tbody", "thead", "tfoot"), "td": ("tr", "table"), "th": ("tr", "table"), "option": ("select",)}
 #: Words of a class, id or role that mark a box as no part of an article.
 UNLIKELY = frozenset(
-    "ad ads advert adverts advertisement advertising adbox banner breadcrumb breadcrumbs combx comment comments commentlist community "
-    "consent cookie cookies disqus extra foot footer gdpr header hidden legends masthead menu modal nav navbar navigation newsletter notice "
-    "notices overlay pager pagination popup promo promoted promotion recommend recommended related remark replies reply respond rss share sharing "
-    "shoutbox sidebar sidebars signup skyscraper social sponsor sponsored subscribe subscription supplemental toolbar tweet widget widgets "
-    "alert alerts complementary contentinfo search".split()
+    "ad ads adbox adsbygoogle advert adverts advertisement advertising banner breadcrumb breadcrumbs combx comment comments commentlist consent "
+    "cookie cookies disqus foot footer gdpr hidden masthead menu modal nav navbar navigation newsletter notice notices outbrain overlay pager "
+    "pagination popup promo promoted promotion recommend recommended related remark replies reply respond rss share sharing shoutbox sidebar "
+    "sidebars signup skyscraper social sponsor sponsored subscribe subscription taboola toolbar tweet alert alerts complementary contentinfo search".split()
 )
-#: And those that say the box may hold it nevertheless.
+#: Words that do so unless another word says that the box may hold the article nevertheless.
+DOUBTFUL = frozenset("community extra header legends supplemental widget widgets".split())
 LIKELY = frozenset("article body content entry main post story text".split())
+#: First words of a name that say what a box is like or has around it, not what it is.
+ABOUT = frozenset("has have is no not with without".split())
+#: An ``article`` element is a reader's comment if a name of its class begins so.
+COMMENT = frozenset("comment comments reply".split())
 
 #: Beside the best container: the share of linked text from which a box is left, unless it scores this share of the best.
 MOST_LINKED, LEAST_SCORE = 0.25, 0.2
-
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
-_MARKS = re.compile(r"""(?:^|[\s"'/])(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+#: What part of a container's points the container around it gets.
+PASSED_ON = 0.5
+LOOK_BACK = 256
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|</([a-zA-Z][^\s/>]*+)[^>]*+(?:>|\Z)|<([a-zA-Z][^\s/>]*+)", re.S)
+_ATTRIBUTE = re.compile(r"""[\s/]*+(?:([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>"'][^\s>]*+)?+))?+)?+""")
+_CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _WORD = re.compile(r"[a-z]+")
 #: Characters that HTML calls white space, and the no-break space that pages use as one.
 _SPACE = re.compile(r"[ \t\n\f\r\v\xa0]+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "aside", "score", "text", "linked")
+    __slots__ = ("tag", "parent", "children", "aside", "score", "whole", "part", "text", "linked", "commas")
 
     def __init__(self, tag: str, parent: Node | None, aside: bool):
         self.tag, self.parent, self.aside = tag, parent, aside
         self.children: list = []  # nodes and strings in page order
-        self.score = 0.0
-        self.text = self.linked = 0
+        self.score = self.whole = self.part = 0.0
+        self.text = self.linked = self.commas = 0
+
+
+def names_aside(value: str) -> bool:
+    """Whether one of the names in a class, id or role marks a box as no part of an article."""
+    for name in value.split():
+        words = _WORD.findall(_CAMEL.sub(" ", name).lower())
+        if not words or words[0] in ABOUT:
+            continue
+        if not UNLIKELY.isdisjoint(words) or not DOUBTFUL.isdisjoint(words) and LIKELY.isdisjoint(words):
+            return True
+    return False
 
 
-def marked_aside(tag: str, attributes: str) -> bool:
+def marked_aside(tag: str, attributes: list[tuple[str, str]], in_article: bool) -> bool:
     """Whether an element is no part of an article by its name or attributes."""
     if tag in ASIDE:
-        return True
-    if not attributes or tag in ("html", "body", "article", "main"):
-        return False
-    for name, value in _MARKS.findall(attributes):
-        name, value = name.lower(), value.strip("\"'").lower()
-        if name == "hidden" or name == "aria-hidden" and value == "true":
+        return not (tag == "header" and in_article)
+    for name, value in attributes:
+        if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
+            return True
+        if name == "style" and re.search(r"display\s*+:\s*+none|visibility\s*+:\s*+hidden", value, re.I):
+            return True
+        if name == "class" and tag == "article" and any(n.lower().replace("_", "-").split("-")[0] in COMMENT for n in value.split()):
+            return True
+        if name in ("class", "id", "role") and tag not in ("html", "body", "article", "main") and names_aside(value):
             return True
-        if name == "style":
-            if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-                return True
-        elif name in ("class", "id", "role"):
-            words = set(_WORD.findall(value))
-            if words & UNLIKELY and not words & LIKELY:
-                return True
     return False
 
 
+def attributes_at(page: str, pos: int) -> tuple[list[tuple[str, str]], int, bool]:
+    """The attributes of a tag from the end of its name on, where the tag ends, and whether it closes itself."""
+    out: list[tuple[str, str]] = []
+    while True:
+        found = _ATTRIBUTE.match(page, pos)
+        if not found[1]:
+            at = found.end()
+            return out, at + 1, page[at - 1 : at] == "/"
+        out.append((found[1].lower(), found[2] or found[3] or found[4] or ""))
+        pos = found.end()
+
+
 def parse(page: str) -> Node:
     """The page's tree."""
     root = at = Node("#root", None, False)
+    articles: set[Node] = set()
     pos, end = 0, len(page)
     while pos < end:
         found = _TOKEN.search(page, pos)
@@ -105,22 +141,27 @@ def parse(page: str) -> Node:
         if found.start() > pos:
             at.children.append(page[pos : found.start()])
         pos = found.end()
-        tag = found[2]
-        if tag is None:
-            continue
-        tag = tag.lower()
         if found[1]:
-            at = closed(at, tag)
+            at = closed(at, found[1].lower())
+            continue
+        if not found[2]:
             continue
+        tag, attributes, alone = found[2].lower(), [], False
+        if page[pos : pos + 1] == ">":
+            pos += 1
+        else:
+            attributes, pos, alone = attributes_at(page, pos)
         at = opened(at, tag)
-        node = Node(tag, at, at.aside or marked_aside(tag, found[3]))
+        node = Node(tag, at, at.aside or marked_aside(tag, attributes, at in articles))
+        if tag == "article" or at in articles:
+            articles.add(node)
         at.children.append(node)
         if tag in RAW:
             stop = re.compile(rf"</{re.escape(tag)}[\s/>]", re.I).search(page, pos)
             node.children.append(page[pos : stop.start() if stop else end])
             close = page.find(">", stop.start()) if stop else -1
             pos = close + 1 if close >= 0 else end
-        elif tag not in VOID and not found[3].endswith("/"):
+        elif tag not in VOID and not alone:
             at = node
     return root
 
@@ -129,13 +170,18 @@ def opened(at: Node, tag: str) -> Node:
     """The node that a new element belongs to: it ends open elements that it can't be inside."""
     if tag in BLOCK:
         up = at
-        while up.parent is not None and (up.tag not in BLOCK or up.tag == "p"):
+        for _ in range(LOOK_BACK):
             if up.tag == "p":  # a block ends an open paragraph, and what is open in it
-                return opened(up.parent, tag)
+                at = up.parent
+                break
+            if up.parent is None or up.tag in BLOCK:
+                break
             up = up.parent
     if tag in CLOSED_BY_SAME:
         up, same = at, {"dt", "dd"} if tag in ("dt", "dd") else {"td", "th"} if tag in ("td", "th") else {tag}
-        while up.parent is not None and up.tag not in CLOSED_BY_SAME[tag]:
+        for _ in range(LOOK_BACK):
+            if up.parent is None or up.tag in CLOSED_BY_SAME[tag]:
+                break
             if up.tag in same:
                 return up.parent
             up = up.parent
@@ -145,18 +191,20 @@ def opened(at: Node, tag: str) -> Node:
 def closed(at: Node, tag: str) -> Node:
     """The node in which the page goes on after an end tag."""
     up = at
-    while up.parent is not None:
+    for _ in range(LOOK_BACK):
+        if up.parent is None:
+            break
         if up.tag == tag:
             return up.parent
         if tag not in BLOCK and up.tag in BLOCK:
-            return at  # an inline end tag doesn't close a block
+            break  # an inline end tag doesn't close a block
         up = up.parent
     return at
 
 
-def weigh(node: Node, in_link: bool) -> None:
-    """Text lengths, and points from paragraphs to their ancestors. Walks without recursion."""
-    stack = [(node, in_link, False)]
+def weigh(root: Node) -> None:
+    """Text lengths, and points from paragraphs to their containers, all carried up once. Walks without recursion."""
+    stack = [(root, False, False)]
     while stack:
         n, link, done = stack.pop()
         if n.aside:
@@ -167,33 +215,27 @@ def weigh(node: Node, in_link: bool) -> None:
             stack += [(c, link, False) for c in n.children if isinstance(c, Node)]
             continue
         own = " ".join(c for c in n.children if isinstance(c, str)).strip()
+        own_commas = own.count(",")
         n.text += len(own)
+        n.commas += own_commas
         n.linked += len(own) if link else 0
-        if n.parent is not None:
-            n.parent.text += n.text
-            n.parent.linked += n.linked
-        loose = n.tag in ("div", "section", "article", "main", "body", "#root") and len(own) > 0
-        if (n.tag in PARAGRAPH or loose) and n.text:
-            whole = flat(n) if n.tag in PARAGRAPH else own
-            points = 1 + whole.count(",") + min(len(whole) / 100, 3)
-            up, level = (n.parent, 0) if not loose else (n, 0)
-            while up is not None:
-                if up.tag in BLOCK or up.tag == "#root":
-                    up.score += points / (1 if level == 0 else 2 if level == 1 else 3 * level)
-                    level += 1
-                up = up.parent
-
-
-def flat(node: Node) -> str:
-    """All text below a node."""
-    out, stack = [], [node]
-    while stack:
-        n = stack.pop()
-        if isinstance(n, str):
-            out.append(n)
-        elif not n.aside:
-            stack += reversed(n.children)
-    return "".join(out)
+        container = n.tag in BLOCK or n.tag == "#root"
+        if container:
+            n.score = n.whole + n.part
+            if own and n.tag in ("div", "section", "article", "main", "body", "#root"):
+                n.score += points(len(own), own_commas)
+        up = n.parent
+        if up is None:
+            continue
+        up.text += n.text
+        up.linked += n.linked
+        up.commas += n.commas
+        up.whole += (0 if container else n.whole) + (points(n.text, n.commas) if n.tag in PARAGRAPH and n.text else 0)
+        up.part += PASSED_ON * n.score if container else n.part
+
+
+def points(length: int, commas: int) -> float:
+    return 1 + commas + min(length / 100, 3)
 
 
 def density(node: Node) -> float:
@@ -213,6 +255,14 @@ def chosen(root: Node) -> list[Node | str | None]:
             best, most = n, value
     if best is None:
         return [root]
+    up = best
+    while up is not None and up.tag != "article":
+        up = up.parent
+    if up is None:
+        up = best
+        while up is not None and up.tag != "main":
+            up = up.parent
+    best = up or best
     while best.parent is not None and best.tag not in BLOCK:
         best = best.parent
     kept: list[Node | str | None] = [best]
@@ -229,15 +279,17 @@ def chosen(root: Node) -> list[Node | str | None]:
 def beside(at: Node, least: float) -> tuple[list[Node | str], list[Node | str], bool]:
     """What is kept before and after a node in its parent, and whether a container in it scores ``least``.
 
-    A run of strings and inline elements is kept or left as one.
+    A run of strings and inline elements is kept or left as one. What lies beside an ``article``
+    must score itself, be a heading, or be an article of few links.
     """
+    whole = at.tag == "article"
     sides: tuple[list, list] = ([], [])
     run: list[Node | str] = []
     side, found = 0, False
 
     def end() -> None:
         text = sum(len(c.strip()) if isinstance(c, str) else c.text for c in run)
-        if text and sum(c.linked for c in run if isinstance(c, Node)) < MOST_LINKED * text:
+        if text and not whole and sum(c.linked for c in run if isinstance(c, Node)) < MOST_LINKED * text:
             sides[side].extend(run)
         run.clear()
 
@@ -252,7 +304,7 @@ def beside(at: Node, least: float) -> tuple[list[Node | str], list[Node | str],
         elif not c.aside and c.text:
             strong = c.score * (1 - density(c)) >= least
             found |= strong
-            if strong or density(c) < MOST_LINKED:
+            if strong or density(c) < MOST_LINKED and (not whole or c.tag == "article" or c.tag in HEADINGS):
                 sides[side].append(c)
     end()
     return *sides, found
@@ -292,7 +344,7 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     root = parse(page)
-    weigh(root, False)
+    weigh(root)
     return " ".join(blocks(chosen(root)))
 
 
