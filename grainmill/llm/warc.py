@@ -1,13 +1,15 @@
 """Writing web archives in deterministic shards, and reading them back.
 
-Rows are put in order of their id and dealt to shards of about equal payload by fixed cuts
-of the id range, worked out from the rows themselves, so the same table gives the same
-files however it was partitioned. A shard's task writes one gzip member for each record and
-rolls to the next file when the compressed size reaches ``roll_bytes``. Headers, record ids
-and digests are generated anew. Files are written under temporary names, unique to each
-attempt; what attempts were successful is known from a table of file facts, and only those
-are renamed and listed in the manifest, which is renamed into place last. A lost executor's
-half-written files are never renamed, and the temporary folder goes with the commit.
+Rows are put in order of their id, rows of one id by a hash of url and payload, and cut into
+shards of about ``shard_bytes``: the bytes before each key are summed exactly (by range, then
+within each range), so cuts depend on the rows alone, wherever ids lie, and the same table
+gives the same files however it was partitioned. Each shard is one partition of the shuffle.
+Its task writes one gzip member for each record and rolls to the next file when the compressed
+size reaches ``roll_bytes``. Headers, record ids and digests are generated anew. Files are
+written under temporary names, unique to each attempt; what attempts were successful is known
+from a table of file facts, and only those are renamed and listed in the manifest, which is
+renamed into place last. A lost executor's half-written files are never renamed, and the
+temporary folder goes with the commit.
 
 Of records with equal payloads of at least ``min_bytes``, that with the smallest id is a
 response, the others are revisits of it. The choice is made on digests alone; its rows meet
@@ -15,7 +17,8 @@ their pages by sorting next to them in the shard, so pages are shuffled once.
 
 Defined results: a null payload is empty. Rows without an id are never the one revisited
 while another has an id, and come last. Rows alike in id and payload are records of their
-own, of the same type. A null url becomes a urn of the row. Extra columns are ignored.
+own, of the same type, and stay in one shard if their urls are alike, too. A null url
+becomes a urn of the row. Extra columns are ignored. Ids are any 64-bit integers.
 """
 
 from __future__ import annotations
@@ -27,16 +30,21 @@ import uuid
 import zlib
 from urllib.parse import quote
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyarrow import fs as arrow_fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from grainmill.runtime import delete_path, scratch_path, settle
+from grainmill.llm.arrow import bound_batches, release
+from grainmill.runtime import delete_path, forget, scratch_path, settle
 
-#: Bins of the id range, of which the shards are runs; a row for each goes to the driver.
-BINS = 4096
+#: The first key of each shard, of 17 bytes, goes to the driver and is broadcast; shards grow beyond so many of them.
+MOST_SHARDS = 1 << 17
+#: Rows of a batch of whole payloads.
+PAGE_ROWS = 500
 #: Payload bytes a record counts for besides its own.
 RECORD_OVERHEAD = 600
 SHARD_BYTES, ROLL_BYTES = 32 << 20, 8 << 20
@@ -134,6 +142,8 @@ def write_shards(folder: str, roll_bytes: int):
                     roller = Roller(folder, shard, roll_bytes)
                 is_revisit = decided is not None and decided[:2] == (row_id, own)
                 roller.write(page_record(row_id, url, (payload or "").encode(), *(decided[2:] if is_revisit else ())))
+            del batch
+            release()
         if roller is not None:
             roller.close()
             yield from facts(roller)
@@ -145,22 +155,50 @@ def write_shards(folder: str, roll_bytes: int):
     return run
 
 
-def shard_table(slim: DataFrame, shard_bytes: int) -> tuple[DataFrame, int, int, int]:
-    """The shard of each bin, with the id range and the number of shards."""
-    low, high = slim.agg(F.min("id"), F.max("id")).first()
-    low, high = (0, 0) if low is None else (low, high)
-    bins = slim.groupBy(bin_of(low, high).alias("bin")).agg(F.sum(F.col("n") + RECORD_OVERHEAD).alias("size")).collect()  # at most BINS + 1 rows
-    at, rows = 0, []
-    for r in sorted(bins, key=lambda r: (r[0] is None, r[0])):
-        rows.append((BINS if r[0] is None else r[0], at // shard_bytes))
-        at += r[1]
-    shards = rows[-1][1] + 1 if rows else 1
-    return slim.sparkSession.createDataFrame(rows, "bin int, shard int"), low, high, shards
+#: The parts of a record's place in the order: whether it has no id, its id, its tie. None is null, as pandas turns whole numbers with nulls into fractions.
+PLACE = "id is null as none", "coalesce(id, 0) as at", "tie"
 
 
-def bin_of(low: int, high: int):
-    width = F.lit(high - low + 1).cast("decimal(20,0)")
-    return F.floor((F.col("id").cast("decimal(20,0)") - F.lit(low).cast("decimal(20,0)")) * BINS / width).cast("int")
+def packed(none: np.ndarray, at: np.ndarray, tie: np.ndarray) -> np.ndarray:
+    """Keys of 17 bytes in the order of places."""
+    out = np.zeros((len(at), 17), np.uint8)
+    out[:, 0] = 1 + np.asarray(none, np.uint8)
+    for start, column in ((1, at), (9, tie)):
+        numbers = np.asarray(column, np.int64).view(np.uint64) ^ np.uint64(1 << 63)
+        out[:, start : start + 8] = numbers.astype(">u8").view(np.uint8).reshape(-1, 8)
+    return out.view("S17").ravel()
+
+
+def shard_cuts(slim: DataFrame, shard_bytes: int) -> np.ndarray:
+    """The first key of each shard but the first, in order. ``slim`` has ``id``, ``tie`` and ``n``, the bytes of a payload."""
+    order = ["none", "at", "tie"]
+    keys = slim.selectExpr(*PLACE, "n").groupBy(*order).agg(F.sum(F.col("n") + RECORD_OVERHEAD).alias("size"))
+    ranged = settle(keys.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "ranges")
+    parts = sorted((r.part, r.size) for r in ranged.groupBy("part").agg(F.sum("size").alias("size")).collect())  # a row for each partition
+    total, bases = 0, []
+    for part, size in parts:
+        bases.append((part, total))
+        total += size
+    shard_bytes = max(shard_bytes, -(-total // MOST_SHARDS))
+    before = Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    placed = ranged.withColumn("own", F.coalesce(F.sum("size").over(before), F.lit(0)))
+    placed = placed.join(F.broadcast(slim.sparkSession.createDataFrame(bases, "part int, base long")), "part")
+    shard = F.expr(f"(base + own) div {shard_bytes}").alias("shard")
+    firsts = placed.select(shard, F.struct(*order).alias("key")).groupBy("shard").agg(F.min("key").alias("key"))
+    found = firsts.select("key.*").toArrow()  # MOST_SHARDS rows at most
+    forget(ranged)
+    return np.sort(packed(*(found.column(c).to_numpy() for c in order)))[1:]
+
+
+def shard_of(cuts: np.ndarray, spark: SparkSession):
+    """A function of a place's parts that gives the row's shard."""
+    shared = spark.sparkContext.broadcast(cuts)
+
+    @F.pandas_udf("int")
+    def of(none: pd.Series, at: pd.Series, tie: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(shared.value, packed(none, at, tie), side="right").astype(np.int32))
+
+    return of
 
 
 def write_archives(
@@ -170,21 +208,22 @@ def write_archives(
     """Writes the archives of all rows to ``folder``; the manifest's rows ``name, bytes, records, sha256``."""
     spark = df.sparkSession
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).alias("url"), F.coalesce(F.col(payload_col), F.lit("")).alias("payload"))
-    rows = rows.withColumn("own", F.sha1("payload"))
-    slim = settle(rows.select("id", "url", "own", F.octet_length("payload").cast("long").alias("n")), "digests")
+    rows = rows.withColumn("own", F.sha1("payload")).withColumn("tie", F.xxhash64("own", "url"))
+    slim = settle(rows.select("id", "url", "own", "tie", F.octet_length("payload").cast("long").alias("n")), "digests")
     named = F.when(F.col("id").isNotNull(), F.struct("id", "url"))
     firsts = slim.where(F.col("n") >= min_bytes).groupBy("own").agg(F.min(named).alias("first"), F.count(F.lit(1)).alias("c")).where("c > 1 and first is not null")
     firsts = settle(firsts.select("own", "first"), "firsts")
-    again = slim.join(firsts, "own").where("id is null or id <> first.id").select("id", "own", "first").distinct()
+    again = slim.join(firsts, "own").where("id is null or id <> first.id").select("id", "own", "tie", "first").distinct()
 
-    table, low, high, shards = shard_table(slim, shard_bytes)
+    cuts = shard_cuts(slim, shard_bytes)
     none = lambda kind, *cols: [F.lit(kind).alias("kind"), *cols]
-    pages = rows.select("id", "own", *none(1, F.col("url"), F.col("payload"), F.lit(None).cast("long").alias("first"), F.lit(None).cast("string").alias("first_url")))
-    choices = again.select("id", "own", *none(0, F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("payload"), F.col("first.id").alias("first"), F.col("first.url").alias("first_url")))
-    records = pages.unionByName(choices).withColumn("bin", F.coalesce(bin_of(low, high), F.lit(BINS)))
-    records = records.join(F.broadcast(table), "bin").select("shard", "id", "own", "kind", "url", "payload", "first", "first_url")  # BINS + 1 rows at most
-    dealt = records.repartition(shards, "shard").sortWithinPartitions("shard", F.asc_nulls_last("id"), "own", "kind", "url")
-    facts = settle(dealt.mapInArrow(write_shards(folder, roll_bytes), FILE_FACTS), "file-facts")
+    pages = rows.select("id", "own", "tie", *none(1, F.col("url"), F.col("payload"), F.lit(None).cast("long").alias("first"), F.lit(None).cast("string").alias("first_url")))
+    choices = again.select("id", "own", "tie", *none(0, F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("payload"), F.col("first.id").alias("first"), F.col("first.url").alias("first_url")))
+    bound_batches(spark)
+    records = pages.unionByName(choices).withColumn("shard", shard_of(cuts, spark)(F.col("id").isNull(), F.coalesce("id", F.lit(0).cast("long")), F.col("tie")))
+    dealt = records.repartitionById(len(cuts) + 1, F.col("shard")).sortWithinPartitions("shard", F.asc_nulls_last("id"), "tie", "own", "kind", "url")
+    dealt = dealt.select("shard", "id", "own", "kind", "url", "payload", "first", "first_url")
+    facts = settle(dealt.mapInArrow(write_shards(folder, roll_bytes), FILE_FACTS), "file-facts", PAGE_ROWS)
     commit(spark, folder, [r.asDict() for r in facts.collect()])  # a row for each file
     return facts.select("name", "bytes", "records", "sha256")
 

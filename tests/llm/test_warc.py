@@ -51,6 +51,26 @@ def test_files_are_the_same_for_any_partitioning_and_manifest_lists_them(spark,
     assert seen[0] == seen[1]
 
 
+def test_shards_are_cut_by_bytes_wherever_ids_lie(spark, tmp_path):
+    """Extreme and far ids, a third without an id and a third of one id leave shards of about the same size."""
+    page = "<p>" + "x" * 2000
+    far = [(-(2**63) + 1, "a", page), (2**62, "b", page), (2**40, "c", page)]
+    rows = far + [(i, f"u{i}", f"{page}{i}") for i in range(600)] + [(7, f"v{i}", f"{page}v{i}") for i in range(600)] + [(None, f"w{i}", f"{page}w{i}") for i in range(600)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    folder = f"file://{tmp_path}/w"
+    warc.write_archives(df, folder, shard_bytes=100_000)
+    records = [f["records"] for f in json.loads((tmp_path / "w/manifest.json").read_text())["files"]]
+    assert sum(records) == 1803 and len(records) > 40 and max(records) <= 2 * 1803 / len(records)
+    got = {r.page_id: r for r in warc.read_archives(spark, folder).where("refers_to is not null or page_id < 0").collect()}
+    assert got[2**62].refers_to == got[2**40].refers_to == -(2**63) + 1 and got[-(2**63) + 1].record_type == "response"
+
+
+def test_shards_grow_rather_than_pass_their_limit(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "MOST_SHARDS", 3)
+    facts = warc.write_archives(rows_of(spark), f"file://{tmp_path}/w", shard_bytes=1)
+    assert len({r.name.split("-")[1] for r in facts.collect()}) <= 3
+
+
 def test_damage_is_noticed():
     whole = warc.page_record(1, "u", b"abc")
     record = next(warc.members(whole))
