@@ -30,3 +30,9 @@ def key_hash(key: Column) -> Column:
 def with_row_hash(df: DataFrame, *cols: str) -> DataFrame:
     """Adds ``r1, r2``, 128 bits of the named columns. Rows alike in them share it and get the same result."""
     return df.withColumns({"r1": F.xxhash64(*cols), "r2": F.xxhash64(F.lit("second"), *cols)})
+
+
+def without_places(text: Column, places: Column) -> Column:
+    """A text without the lines of those numbers."""
+    return bind(F.split(text, "\n"), lambda lines: F.array_join(
+        F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), places), lambda i: F.get(lines, i)), "\n"))
