@@ -10,42 +10,43 @@ _WORD = r"[^\x20\x09-\x0D]+"
 _KEY = f"translate(trim(line, {_SPACES}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 OP7 = f"""
-WITH lines AS (
-  SELECT doc_id, pos, line, {_KEY} AS k FROM (
-    SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
-           generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents)
+WITH docs AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
+lines AS MATERIALIZED (
+  SELECT r, doc_id, pos, line, {_KEY} AS k FROM (
+    SELECT r, doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+           generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM docs)
 ), frequent AS (
-  SELECT k FROM lines WHERE length(k) >= 1 GROUP BY k HAVING count(DISTINCT doc_id) >= 10
+  SELECT k FROM lines WHERE length(k) >= 1 GROUP BY k HAVING count(DISTINCT r) >= 10
 )
 SELECT doc_id, count(*)::BIGINT AS n_lines, count(f.k)::BIGINT AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE f.k IS NULL), '')) AS kept_sha256
-FROM lines LEFT JOIN frequent f ON lines.k = f.k GROUP BY doc_id
+FROM lines LEFT JOIN frequent f ON lines.k = f.k GROUP BY r, doc_id
 """
 
 OP4 = rf"""
-WITH docs AS (
-  SELECT doc_id, source, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w,
+WITH docs AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w,
          list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: trim(x, {_SPACES}) <> '') AS l FROM documents
 ), grams AS (
-  SELECT doc_id, unnest(generate_series(1, len(w) - 4)) AS i, array_to_string(list_slice(w, i, i + 4), ' ') AS g FROM docs WHERE len(w) >= 5
+  SELECT r, unnest(generate_series(1, len(w) - 4)) AS i, array_to_string(list_slice(w, i, i + 4), ' ') AS g FROM docs WHERE len(w) >= 5
 ), again AS (
-  SELECT doc_id, i FROM grams QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1
+  SELECT r, i FROM grams QUALIFY count(*) OVER (PARTITION BY r, g) > 1
 ), covered AS (
-  SELECT doc_id, count(DISTINCT i + k) AS n FROM again, generate_series(0, 4) AS s(k) GROUP BY doc_id
+  SELECT r, count(DISTINCT i + k) AS n FROM again, generate_series(0, 4) AS s(k) GROUP BY r
 ), lines AS (
-  SELECT doc_id, source, {_KEY} AS k FROM (SELECT doc_id, source, unnest(l) AS line FROM docs)
+  SELECT r, source, {_KEY} AS k FROM (SELECT r, source, unnest(l) AS line FROM docs)
 ), common AS (
-  SELECT source, k FROM lines GROUP BY source, k HAVING count(DISTINCT doc_id) > {quality.MAX_DOCS_PER_HOST}
+  SELECT source, k FROM lines GROUP BY source, k HAVING count(DISTINCT r) > {quality.MAX_DOCS_PER_HOST}
 ), removed AS (
-  SELECT doc_id, sum(length(lines.k)) AS total, count(c.k) AS n, coalesce(sum(length(c.k)), 0) AS chars
-  FROM lines LEFT JOIN common c ON lines.k = c.k AND lines.source IS NOT DISTINCT FROM c.source GROUP BY doc_id
+  SELECT r, sum(length(lines.k)) AS total, count(c.k) AS n, coalesce(sum(length(c.k)), 0) AS chars
+  FROM lines LEFT JOIN common c ON lines.k = c.k AND lines.source IS NOT DISTINCT FROM c.source GROUP BY r
 ), judged AS (
   SELECT doc_id, len(w)::BIGINT AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
          (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
          (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(covered.n, 0)::BIGINT AS n_repeat_words,
          coalesce(removed.n, 0)::BIGINT AS n_lines_removed,
          coalesce(1 - removed.chars::DOUBLE / removed.total::DOUBLE, 1.0) AS share_left
-  FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN removed USING (doc_id)
+  FROM docs LEFT JOIN covered USING (r) LEFT JOIN removed USING (r)
 )
 SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_REPEATED_PERCENT} * n_words AS base_failed,
        NOT (n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_REPEATED_PERCENT} * n_words) AND share_left >= {quality.LEAST_LEFT} AS kept

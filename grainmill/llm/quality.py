@@ -12,8 +12,8 @@ are broadcast up to ``BROADCAST_KEYS`` rows; beyond, two written tables are sort
 joined, which adaptive execution splits.
 
 Defined results: a null or empty text has no words and fails the base rules. Lines without
-a character other than white space are neither counted nor removed. Rows alike in id, host
-and text count as documents of their own. A null host is a host. Other columns are ignored.
+a character other than white space are neither counted nor removed. Each row is a document,
+also if it repeats another's id or is alike in id, host and text. A null host is a host. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from grainmill.llm.lines import SPACES, bind, key_hash, line_key, with_row_hash
+from grainmill.llm.lines import SPACES, bind, key_hash, line_key, with_row_hash, without_places
 from grainmill.runtime import settle, small_enough
 
 WORD_BREAK = r"[\x20\x09-\x0D]+"
@@ -77,24 +77,23 @@ def _own(df: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFrame:
     return with_row_hash(own, "doc_id", "text", "host")
 
 
-def _keyed(text: str) -> Column:
-    """Hash and length of each line of a text that isn't blank."""
-    keyed = F.transform(F.split(text, "\n"), lambda x: bind(line_key(x), lambda k: F.struct(key_hash(k).alias("k"), F.length(k).alias("chars"))))
-    return F.filter(keyed, lambda x: x["chars"] > 0)
+def _keys(text: str) -> Column:
+    """The key of each line of a text; empty where it is blank."""
+    return F.transform(F.split(text, "\n"), line_key)
 
 
 def _hits(own: DataFrame, max_docs: int) -> DataFrame:
-    """``r1, r2`` of the rows that hold common lines of their host, with their lines, characters and distinct keys ``__gone``."""
-    keyed = _keyed("text")
-    distinct = own.select("host", F.explode(F.array_distinct(F.transform(keyed, lambda x: x["k"]))).alias("k"))
+    """``r1, r2`` of the rows that hold common lines of their host, with their lines, characters and distinct places ``__gone``."""
+    # keys are made distinct as texts, which takes time in proportion to their number, and hashed after
+    distinct = own.select("host", F.explode(F.array_distinct(_keys("text"))).alias("k")).where("k <> ''").select("host", key_hash(F.col("k")).alias("k"))
     counts = distinct.groupBy("host", "k.k1", "k.k2").agg(F.count(F.lit(1)).alias("n_docs"))
     common = settle(counts.where(F.col("n_docs") > max_docs).select(F.col("host").alias("__host"), "k1", "k2"), "common-lines")
 
-    lines = own.select("r1", "r2", "host", F.explode(keyed).alias("x")).select("r1", "r2", "host", "x.k.k1", "x.k.k2", "x.chars")
+    lines = own.select("r1", "r2", "host", F.posexplode(_keys("text")).alias("pos", "k")).where("k <> ''")
+    lines = lines.select("r1", "r2", "host", "pos", F.length("k").alias("chars"), key_hash(F.col("k")).alias("k")).select("r1", "r2", "host", "pos", "chars", "k.k1", "k.k2")
     near = small_enough(common, BROADCAST_KEYS) or common
     hit = (lines["k1"] == near["k1"]) & (lines["k2"] == near["k2"]) & lines["host"].eqNullSafe(near["__host"])
-    gone = F.collect_set(F.struct(lines["k1"], lines["k2"])).alias("__gone")
-    return lines.join(near, hit).groupBy("r1", "r2").agg(F.count(F.lit(1)).alias("__lines"), F.sum("chars").alias("__chars"), gone)
+    return lines.join(near, hit).groupBy("r1", "r2").agg(F.count(F.lit(1)).alias("__lines"), F.sum("chars").alias("__chars"), F.collect_set("pos").alias("__gone"))
 
 
 def without_common_lines(
@@ -107,8 +106,7 @@ def without_common_lines(
     gone = settle(_hits(_own(plain, id_, text, host), max_docs).select("r1", "r2", "__gone"), "gone-lines")
     marked = plain.withColumns({"__text": F.coalesce(text, F.lit("")), "__host": F.col(host).cast("string")})
     marked = with_row_hash(marked, id_, "__text", "__host").join(gone, ["r1", "r2"], "left")
-    left = F.array_join(F.filter(F.split(text, "\n"), lambda x: ~F.array_contains("__gone", key_hash(line_key(x)))), "\n")
-    kept = F.when(F.col("__gone").isNull(), F.col(text)).otherwise(left).alias(text)
+    kept = F.when(F.col("__gone").isNull(), F.col(text)).otherwise(without_places(F.col(text), F.col("__gone"))).alias(text)
     return marked.select(*[kept if n == text else n for n in names]).toDF(*df.columns)
 
 
@@ -118,7 +116,7 @@ def judge(
 ) -> DataFrame:
     """Metrics and verdict of every document: ``id_col``, the base metrics, ``n_lines_removed, share_left, base_failed, kept``."""
     own = _own(df, id_col, text_col, host_col)
-    total = F.aggregate(F.transform(_keyed("text"), lambda x: x["chars"].cast("long")), F.lit(0).cast("long"), lambda a, c: a + c)
+    total = F.aggregate(_keys("text"), F.lit(0).cast("long"), lambda a, k: a + F.length(k))
     slim = own.select("doc_id", "r1", "r2", total.alias("__total"), *[c.alias(n) for n, c in base_metrics(F.col("text")).items()])
     # rows alike in id, host and text have one hash and their hits are summed over all of them
     alike = own.groupBy("r1", "r2").agg(F.count(F.lit(1)).alias("__rows")).where("__rows > 1")
