@@ -4,16 +4,18 @@ Vectors of one label are scaled to length one and rotated by a fixed random rota
 split into blocks of dimensions. A cosine of at least ``cosine`` is a squared distance of
 at most ``2 - 2 * cosine``; a pair within it lies within the block's proportional part of
 that budget in at least one block. So in every block a range join collects the pairs within
-its part, and the union over blocks holds every pair sought. The range join is a grid over
-two coordinates of the block with cells as wide as the radius: a vector is at home in its
-cell and a guest in half of the cells around. Homes and guests of a cell are compared by
-matrix products; the cosine is then checked on the full vectors in double precision, and a
-pair counts in the first block that finds it.
-
-Vectors equal in label and components are one class, so thousands of copies are one vector.
-A cell's homes and guests are dealt into chunks of about ``CHUNK`` rows, and every pair of
-chunks is a task of its own, so a crowded cell is no large task. Tasks return counts and a
-spanning forest of what they linked, never pairs.
+its part, and the union over blocks, which holds every pair sought, is verified by cosines of
+the full vectors in double precision.
+
+The range joins of all blocks run together, as block nested loops of matrix products: the
+vectors of a label are dealt into chunks of about ``CHUNK``, and each pair of chunks is a task
+of its own, to which both chunks go once. An index over a block was tried and isn't used: at
+cosines of interest a block's radius is about as wide as its coordinates spread, so each cut or
+cell of an index spares less work than its copies of rows at the borders add (see the README
+for figures). Comparisons therefore grow with the square of a label, and so do copies of rows,
+by one for each ``CHUNK`` vectors of the label. Vectors equal in label and components are one
+class, so thousands of copies are one vector. Tasks return counts and a spanning forest of what
+they linked, never pairs.
 
 Defined results: null labels, and vectors that are null, empty, zero or hold null or
 non-finite components link with nothing. Vectors of different lengths are not compared. Rows
@@ -27,22 +29,24 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from grainmill.llm.arrow import bound_batches
 from grainmill.operators.components import connected_components
 from grainmill.runtime import settle, small_enough
 
 #: Dimensions of a block, about.
 BLOCK = 16
-CHUNK = 1024
+CHUNK = 4096
+#: Vectors of a chunk that meet the other chunk at a time.
+TILE = 512
 ROTATION_SEED = 20
-BROADCAST_CELLS = 100_000
-#: Room for rounding in the distance tests, which only choose candidates.
-SLACK = 1e-9
-PLACES = "block int, c1 int, c2 int, guest boolean, own boolean"
-KEY = ["__label", "dim", "block", "c1", "c2"]
+#: A table with a row for each label is broadcast up to so many rows.
+BROADCAST_LABELS = 100_000
+#: Room for rounding in the distance tests, which work in single precision and only choose candidates.
+SLACK = 1e-5
+UNIT = ["__label", "dim", "hi", "gi"]
 
 
 @lru_cache(maxsize=8)
@@ -58,8 +62,9 @@ def block_bounds(dim: int) -> list[tuple[int, int]]:
     return list(zip(cuts[:-1].tolist(), cuts[1:].tolist()))
 
 
-def budget(cosine: float) -> float:
-    return (2 - 2 * cosine) * (1 + SLACK) + SLACK
+def budgets(cosine: float, dim: int) -> list[tuple[int, int, float]]:
+    """Each block's bounds and the squared distance within which it holds a candidate."""
+    return [(lo, hi, (2 - 2 * cosine) * (hi - lo) / dim + SLACK) for lo, hi in block_bounds(dim)]
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -68,31 +73,13 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def spread(cosine: float, keep: int):
-    """Rows with a vector become rows for the cells where it is at home or a guest, in every block."""
-
-    def run(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            vectors = batch.column("vector")
-            sizes = np.asarray(pc.list_value_length(vectors))
-            for dim in np.unique(sizes):
-                rows = np.flatnonzero(sizes == dim)
-                x = np.array([vectors[int(i)].values.to_numpy(zero_copy_only=False) for i in rows], np.float64).reshape(len(rows), dim)
-                x = unit(x) @ rotation(int(dim))
-                for b, (lo, hi) in enumerate(block_bounds(int(dim))):
-                    width = np.sqrt(budget(cosine) * (hi - lo) / dim) * (1 + SLACK)
-                    c1 = np.floor(x[:, lo] / width).astype(np.int32)
-                    c2 = np.floor(x[:, lo + 1] / width).astype(np.int32) if hi - lo > 1 else np.zeros_like(c1)
-                    # home; guest in its own cell; guest in half of the cells around
-                    for guest, own, d1, d2 in ((False, True, 0, 0), (True, True, 0, 0), (True, False, 0, 1), (True, False, 1, -1), (True, False, 1, 0), (True, False, 1, 1)):
-                        part = batch.take(pa.array(rows))
-                        n = len(rows)
-                        new = [pa.array(np.full(n, b, np.int32)), pa.array(c1 + np.int32(d1)), pa.array(c2 + np.int32(d2)), pa.array([guest] * n), pa.array([own] * n)]
-                        yield pa.RecordBatch.from_arrays([*part.columns[:keep], *new], names=[*batch.schema.names[:keep], "block", "c1", "c2", "guest", "own"])
-
-    return run
+def candidates(x: np.ndarray, y: np.ndarray, cosine: float) -> np.ndarray:
+    """Which rows of ``x`` and ``y``, rotated and in single precision, are within a block's budget in some block."""
+    near = np.zeros((len(x), len(y)), bool)
+    for lo, hi, most in budgets(cosine, x.shape[1]):
+        g, h = x[:, lo:hi], y[:, lo:hi]
+        near |= (g * g).sum(1)[:, None] + (h * h).sum(1)[None, :] - 2 * (g @ h.T) <= np.float32(most)
+    return near
 
 
 def forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
@@ -112,53 +99,36 @@ def forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
 
 
 def compare(cosine: float):
-    """A pair of chunks: for each class linked, how many vectors it is newly linked with and its forest's root."""
-    total = budget(cosine)
+    """A pair of chunks: for each class linked, how many vectors it is linked with there and its forest's root."""
 
     def run(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
-        names = np.array(group.column("class").to_pylist(), dtype=object)
-        guest, own = (np.asarray(group.column(c).combine_chunks()) for c in ("guest", "own"))
-        members = np.asarray(group.column("members").combine_chunks()).astype(np.float64)
-        vectors = group.column("vector").combine_chunks()
-        dim, b = group.column("dim")[0].as_py(), group.column("block")[0].as_py()
-        raw = np.asarray(vectors.flatten(), np.float64).reshape(-1, dim)
-        x, turned = unit(raw), None
-        home, away = np.flatnonzero(~guest), np.flatnonzero(guest)
-        bounds = block_bounds(dim)
+        column = lambda c: group.column(c).combine_chunks()
+        names, members, away = column("class"), np.asarray(column("members")).astype(np.float64), np.asarray(column("guest"))
+        dim, alone = group.column("dim")[0].as_py(), group.column("hi")[0] == group.column("gi")[0]
+        x = unit(np.asarray(column("vector").flatten(), np.float64).reshape(-1, dim))
+        turned = (x @ rotation(dim)).astype(np.float32)
+        home = np.flatnonzero(~away)
+        guest = home if alone else np.flatnonzero(away)
         found_a, found_b = [], []
-        if len(home) and len(away):
-            turned = x @ rotation(dim)
-            lo, hi = bounds[b]
-            part = total * (hi - lo) / dim
-            h, g = turned[home, lo:hi], turned[away, lo:hi]
-            near = (h * h).sum(1)[:, None] + (g * g).sum(1)[None, :] - 2 * (h @ g.T) <= part * (1 + 1e-6) + SLACK
-            i, j = np.nonzero(near)
-            # a pair within one cell is seen from both sides
-            once = ~own[away[j]] | (names[home[i]] < names[away[j]])
-            i, j = home[i[once]], away[j[once]]
+        for start in range(0, len(home) if len(guest) else 0, TILE):
+            tile = home[start : start + TILE]
+            others = guest[start:] if alone else guest  # within one chunk a pair is met once
+            i, j = np.nonzero(candidates(turned[tile], turned[others], cosine))
+            i, j = tile[i], others[j]
+            if alone:
+                i, j = i[i < j], j[i < j]
             for s in range(0, len(i), 1 << 16):
                 p, q = i[s : s + (1 << 16)], j[s : s + (1 << 16)]
                 close = np.einsum("ij,ij->i", x[p], x[q]) >= cosine
-                p, q = p[close], q[close]
-                gap = (turned[p] - turned[q]) ** 2
-                first = np.full(len(p), -1)
-                for k, (lo, hi) in enumerate(bounds[: b + 1]):
-                    within = gap[:, lo:hi].sum(1) <= total * (hi - lo) / dim
-                    first[(first < 0) & within] = k
-                mine = first == b
-                found_a.append(p[mine])
-                found_b.append(q[mine])
+                found_a.append(p[close])
+                found_b.append(q[close])
         a = np.concatenate(found_a) if found_a else np.zeros(0, int)
         c = np.concatenate(found_b) if found_b else np.zeros(0, int)
-        # a class stands in the group up to twice: give both its first place
-        place: dict = {}
-        to = np.array([place.setdefault(name, k) for k, name in enumerate(names)])
-        a, c = to[a], to[c]
-        links = np.bincount(a, members[c], len(names)) + np.bincount(c, members[a], len(names))
-        root = forest(a, c, len(names))
+        links = np.bincount(a, members[c], len(x)) + np.bincount(c, members[a], len(x))
+        root = forest(a, c, len(x))
         at = np.flatnonzero(links)
-        return pa.table({"class": pa.array(names[at], pa.string()), "links": pa.array(links[at].astype(np.int64)), "root": pa.array(names[root[at]], pa.string())})
+        return pa.table({"class": names.take(pa.array(at)), "links": pa.array(links[at].astype(np.int64)), "root": names.take(pa.array(root[at]))})
 
     return run
 
@@ -168,7 +138,7 @@ def classes_of(df: DataFrame, id_col: str, vector_col: str, label_col: str) -> D
     v = F.col(vector_col)
     number = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))
     valid = v.isNotNull() & F.col(label_col).isNotNull() & (F.size(v) > 0) & F.forall(v, number) & F.exists(v, lambda x: x != 0)
-    key = F.concat(*[F.lpad(F.hex(F.xxhash64(F.lit(seed), F.col(label_col), v)), 16, "0") for seed in ("one", "two")])
+    key = F.unhex(F.concat(*[F.lpad(F.hex(F.xxhash64(F.lit(seed), F.col(label_col), v)), 16, "0") for seed in ("one", "two")]))
     rows = df.select(F.col(id_col).alias("vec_id"), v.alias("vector"), F.col(label_col).cast("string").alias("__label"), F.when(F.coalesce(valid, F.lit(False)), key).alias("class"))
     return rows
 
@@ -180,24 +150,17 @@ def near_duplicates(df: DataFrame, cosine: float = 0.93, id_col: str = "vec_id",
     alike = slim.where("class is not null").groupBy("class").agg(F.count(F.lit(1)).alias("members"), F.min("vec_id").alias("least"))
     classes = rows.where("class is not null").groupBy("class").agg(F.first("__label").alias("__label"), F.first("vector").alias("vector"), F.count(F.lit(1)).alias("members"))
     classes = settle(classes.withColumn("dim", F.size("vector")), "classes")
-    kind = classes.schema["vector"].dataType.simpleString()
-
-    bare = classes.select("__label", "dim", "vector").mapInArrow(spread(cosine, 2), f"__label string, dim int, {PLACES}")
-    sizes = bare.groupBy(*KEY).agg(F.sum((~F.col("guest")).cast("int")).alias("homes"), F.sum(F.col("guest").cast("int")).alias("guests"))
-    crowded = settle(sizes.where((F.col("homes") > CHUNK) | (F.col("guests") > CHUNK)), "crowded-cells")
-    crowded = crowded.select(*KEY, F.ceil(F.col("homes") / CHUNK).cast("int").alias("hn"), F.ceil(F.col("guests") / CHUNK).cast("int").alias("gn"))
-
-    placed = classes.select("__label", "dim", "class", "members", "vector").mapInArrow(spread(cosine, 5), f"__label string, dim int, class string, members long, vector {kind}, {PLACES}")
-    placed = placed.join(small_enough(crowded, BROADCAST_CELLS) or crowded, KEY, "left")
-    hn, gn = (F.greatest(F.coalesce(c, F.lit(1)), F.lit(1)) for c in ("hn", "gn"))
-    chunk = lambda n: F.pmod(F.xxhash64(F.lit("chunk"), "class"), n).cast("int")
-    own_chunk = F.when(F.col("guest"), chunk(gn)).otherwise(chunk(hn))
-    placed = placed.withColumn("mine", own_chunk).withColumn("other", F.explode(F.sequence(F.lit(0), F.when(F.col("guest"), hn).otherwise(gn) - 1)))
-    units = placed.select(
-        *KEY, F.when(F.col("guest"), F.col("other")).otherwise(F.col("mine")).alias("hi"), F.when(F.col("guest"), F.col("mine")).otherwise(F.col("other")).alias("gi"),
-        "class", "members", "vector", "guest", "own",
+    sizes = classes.groupBy("__label", "dim").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks"))
+    sizes = settle(sizes, "label-chunks")
+    dealt = classes.join(small_enough(sizes, BROADCAST_LABELS) or sizes, ["__label", "dim"])
+    dealt = dealt.withColumn("mine", F.pmod(F.xxhash64(F.lit("chunk"), "class"), F.col("chunks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    units = dealt.select(
+        "__label", "dim", F.least("mine", "other").alias("hi"), F.greatest("mine", "other").alias("gi"),
+        (F.col("mine") > F.col("other")).alias("guest"), "class", "members", "vector",
     )
-    found = units.groupBy(*KEY, "hi", "gi").applyInArrow(compare(cosine), "class string, links long, root string")
+    bound_batches(df.sparkSession)
+    found = units.groupBy(*UNIT).applyInArrow(compare(cosine), "class binary, links long, root binary")
     found = settle(found, "vector-links")
 
     links = found.groupBy("class").agg(F.sum("links").alias("links"))
@@ -206,7 +169,7 @@ def near_duplicates(df: DataFrame, cosine: float = 0.93, id_col: str = "vec_id",
         "class", (F.coalesce("links", F.lit(0)) + F.col("members") - 1).alias("n_links"), F.coalesce("group", "class").alias("group"), "least"
     )
     known = settle(known, "class-facts")
-    least = known.groupBy("group").agg(F.min("least").alias("component_id"))
+    least = settle(known.groupBy("group").agg(F.min("least").alias("component_id")), "least-ids")
     facts = settle(known.join(least, "group").select("class", "n_links", "component_id"), "facts")
     out = slim.join(facts, "class", "left")
     own = F.col("vec_id")
