@@ -13,8 +13,9 @@
 4. Verified links are grouped by union-find: within each partition by a forest in Python,
    across partitions by the star rounds of :mod:`grainmill.operators.components`.
 5. Buckets in which members are still outside the pivot's component are looked at once more:
-   those outside meet all members of other components, in chunks dealt over tasks, which
-   verify on the spot and give a forest of links, not pairs. So no two members of a bucket
+   those outside meet all members of other components, in chunks dealt over tasks, first by
+   size and sketch. Texts are fetched for the members of likely pairs alone, which tasks then
+   verify on the spot; they give a forest of links, not pairs. So no two members of a bucket
    that could link stay uncompared unless they are already in one component.
 
 At the threshold of 0.8 a pair misses all 32 bands of 4 rows with probability 5e-8, and the
@@ -240,38 +241,63 @@ def _binary_rows(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.binary()) for k in (0, 1)], names=["a", "b"])
 
 
-def outside_links(shingle: int, percent: int, least: int):
-    """A chunk of members outside the pivot's component against a chunk of members: links that join components.
+#: What is known of a member of a bucket where it is compared, apart from its marks and text.
+MEMBER = "band int, value long, hi int, gi int, class binary, n long, component binary, loose boolean, outside boolean"
+
+
+class Unit:
+    """A chunk of members outside the pivot's component against a chunk of members.
 
-    A pair is looked at in the first band it shares alone, told from the hashes that made the
-    buckets: there too one of the two is outside, unless one is the pivot, which has met the
-    other already.
-    Pairs that pass the sketch test are verified here, the likeliest first, unless links
-    found before have joined their components; so at most a link for each component comes out.
+    ``pairs`` are those that pass the sketch test, the likeliest first. A pair is looked at in
+    the first band it shares alone, told from the hashes that made the buckets: there too one
+    of the two is outside, unless one is the pivot, which has met the other already.
     """
 
-    def run(group: pa.Table) -> pa.Table:
-        group = group.combine_chunks()
-        column = lambda c: group.column(c).combine_chunks()
-        outside, loose, n = (np.asarray(column(c)) for c in ("outside", "loose", "n"))
+    def __init__(self, group: pa.Table, percent: int, least: int):
+        self.group = group.combine_chunks()
+        outside, loose, n = (np.asarray(self.column(c)) for c in ("outside", "loose", "n"))
         home, away = np.flatnonzero(outside), np.flatnonzero(~outside)
-        names, parts = (np.array(column(c).to_pylist(), dtype=object) for c in ("class", "component"))
-        number, codes = (np.unique(x, return_inverse=True)[1] for x in (names, parts))
-        sketch, band, pairs = sketches_of(column("sketch")), group.column("band")[0].as_py(), []
-        bands = np.asarray(column("bands").flatten()).reshape(-1, BANDS)
+        self.names, parts = (np.array(self.column(c).to_pylist(), dtype=object) for c in ("class", "component"))
+        number, self.codes = (np.unique(x, return_inverse=True)[1] for x in (self.names, parts))
+        sketch, band = sketches_of(self.column("sketch")), self.group.column("band")[0].as_py()
+        bands = np.asarray(self.column("bands").flatten()).reshape(-1, BANDS)
+        self.pairs = []
         for i in home:
-            ok = (codes[away] != codes[i]) & (100 * np.minimum(n[away], n[i]) >= percent * np.maximum(n[away], n[i]))
+            ok = (self.codes[away] != self.codes[i]) & (100 * np.minimum(n[away], n[i]) >= percent * np.maximum(n[away], n[i]))
             ok &= ~loose[away] | (number[away] > number[i])  # two members outside meet twice
             j = away[ok]
             matches = (sketch[j] == sketch[i]).sum(1)
             fit = (matches >= least) & ((bands[j] == bands[i]).argmax(1) == band)
-            pairs += [(-int(m), int(i), int(k)) for m, k in zip(matches[fit], j[fit])]
-        if not pairs:
-            return pa.Table.from_batches([_binary_rows([])])
-        pairs.sort()
-        rows = np.unique([k for p in pairs for k in p[1:]])
-        sets = dict(zip(rows.tolist(), shingle_sets(column("text").take(pa.array(rows)), shingle)))
-        joined, found = list(range(len(names))), []
+            self.pairs += [(-int(m), int(i), int(k)) for m, k in zip(matches[fit], j[fit])]
+        self.pairs.sort()
+        self.rows = np.unique([k for p in self.pairs for k in p[1:]]).astype(np.int64)
+
+    def column(self, name: str) -> pa.Array:
+        return self.group.column(name).combine_chunks()
+
+
+def likely_members(percent: int, least: int):
+    """The members of a unit that are in one of its pairs; their texts alone are needed."""
+    names = [f.split()[0] for f in MEMBER.split(", ")]
+
+    def run(group: pa.Table) -> pa.Table:
+        unit = Unit(group, percent, least)
+        return unit.group.select(names).take(pa.array(unit.rows))
+
+    return run
+
+
+def outside_links(shingle: int, percent: int, least: int):
+    """The links of a unit that join components.
+
+    Pairs are verified on the full sets, unless links found before have joined their
+    components; so at most a link for each component comes out.
+    """
+
+    def run(group: pa.Table) -> pa.Table:
+        unit = Unit(group, percent, least)
+        sets = dict(zip(unit.rows.tolist(), shingle_sets(unit.column("text").take(pa.array(unit.rows)), shingle))) if len(unit.rows) else {}
+        joined, found = list(range(len(unit.names))), []
 
         def find(x: int) -> int:
             while joined[x] != x:
@@ -279,11 +305,11 @@ def outside_links(shingle: int, percent: int, least: int):
                 x = joined[x]
             return x
 
-        for _, i, k in pairs:
-            a, b = find(int(codes[i])), find(int(codes[k]))
+        for _, i, k in unit.pairs:
+            a, b = find(int(unit.codes[i])), find(int(unit.codes[k]))
             if a != b and similar(sets[i], sets[k], percent):
                 joined[max(a, b)] = min(a, b)
-                found.append((names[i], names[k]))
+                found.append((unit.names[i], unit.names[k]))
         return pa.Table.from_batches([_binary_rows(found)])
 
     return run
@@ -366,13 +392,17 @@ class NearDuplicates:
         # the pivot has met every member already
         met = loose.where(F.col("class") != F.col("pivot.class")).join(counts, ["band", "value"]).drop("pivot")
         met = settle(met, "open-members")
-        both = met.join(self.classes.select("class", "sketch", "bands"), "class").join(self._texts(met.select("class")), "class")
-        both = both.withColumn("outside", F.explode(F.when(F.col("loose"), F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(False)))))
+        marks = self.classes.select("class", "sketch", "bands")
+        both = met.withColumn("outside", F.explode(F.when(F.col("loose"), F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(False)))))
         chunk = lambda n: F.pmod(F.xxhash64("class"), n).cast("int")
-        both = both.withColumn("mine", F.when(F.col("outside"), chunk(F.col("hn"))).otherwise(chunk(F.col("gn"))))
+        both = both.join(marks, "class").withColumn("mine", F.when(F.col("outside"), chunk(F.col("hn"))).otherwise(chunk(F.col("gn"))))
         both = both.withColumn("other", F.explode(F.sequence(F.lit(0), F.when(F.col("outside"), F.col("gn")).otherwise(F.col("hn")) - 1)))
-        units = both.select("band", "value", F.when(F.col("outside"), F.col("mine")).otherwise(F.col("other")).alias("hi"), F.when(F.col("outside"), F.col("other")).otherwise(F.col("mine")).alias("gi"), "class", "n", "component", "loose", "sketch", "bands", "text", "outside")
-        found = units.groupBy("band", "value", "hi", "gi").applyInArrow(outside_links(self.shingle, self.percent, self.least), "a binary, b binary")
+        key = ["band", "value", "hi", "gi"]
+        place = lambda here, there: F.when(F.col("outside"), F.col(here)).otherwise(F.col(there))
+        units = both.select("band", "value", place("mine", "other").alias("hi"), place("other", "mine").alias("gi"), "class", "n", "component", "loose", "outside", "sketch", "bands")
+        likely = settle(units.groupBy(*key).applyInArrow(likely_members(self.percent, self.least), MEMBER), "likely-members")
+        full = likely.join(marks, "class").join(self._texts(likely.select("class")), "class")
+        found = full.groupBy(*key).applyInArrow(outside_links(self.shingle, self.percent, self.least), "a binary, b binary")
         return settle(found, "outside-links", PAIR_ROWS)
 
 
