@@ -37,6 +37,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (1.0, 2.0, 3.0)
 BLOCK_WORDS = 16_384
 MOST_REPEATS = 3
+#: Slots of the schedule for each task that makes them, about.
+TASK_SLOTS = 200_000
 #: A table of sources up to this many rows is broadcast.
 BROADCAST_SOURCES = 10_000
 
@@ -122,6 +124,7 @@ class Mix:
         n, step = self.total, golden_step(max(1, self.total))
         chunk = max(1, math.isqrt(n))
         owned = self.sources.where("__slots > 0").select("__s", "__low", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(__slots - 1) div {chunk}"))).alias("__c"), "__slots")
+        owned = owned.repartition(1 + n // TASK_SLOTS, "__s", "__c")  # else a source's slots all come from the task with its row
         points = owned.select("__s", F.explode(F.expr(f"sequence(__low + __c * {chunk}, __low + least((__c + 1) * {chunk}, __slots) - 1)")).alias("__p"))
         back = pow(step, -1, n) if n > 1 else 0
         exact = F.col("__p").cast("decimal(19,0)") * F.lit(back).cast("decimal(19,0)")

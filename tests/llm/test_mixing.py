@@ -1,5 +1,8 @@
 import math
-from collections import defaultdict
+import re
+from collections import Counter, defaultdict
+
+from pyspark.sql import functions as F
 
 from grainmill.llm.mixing import Mix, golden_step, mix, mixed_rows, targets
 
@@ -13,7 +16,7 @@ def test_targets_are_capped_and_share_everything():
 def test_every_source_comes_near_its_target_and_no_document_exceeds_three_passes(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     rows = mix(docs).collect()
-    assert len(rows) == docs.count() and rows == rows and sorted(mix(docs.repartition(7)).collect()) == sorted(rows)
+    assert len(rows) == docs.count() and sorted(mix(docs.repartition(7)).collect()) == sorted(rows)
     source = {r.doc_id: r.source for r in docs.select("doc_id", "source").collect()}
     taken, size, want = defaultdict(int), defaultdict(int), {}
     for r in rows:
@@ -27,6 +30,33 @@ def test_every_source_comes_near_its_target_and_no_document_exceeds_three_passes
         assert want[n] == (t, size[n]) and abs(taken[n] - t) <= 1
 
 
+def test_taken_equals_brute_force(spark, small):
+    """Each source's documents in order of the hash, over and over, until the words of its target are out."""
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    rows = docs.select("doc_id", "text", "source", F.xxhash64(F.lit("mix"), "doc_id", "text").alias("h")).collect()
+    size = {r.doc_id: len(re.findall("[^ \t-\r]+", r.text or "")) for r in rows}
+    names = sorted({r.source for r in rows if r.source is not None}) + [None] * any(r.source is None for r in rows)
+    of = {n: [r for r in rows if r.source == n] for n in names}
+    whole = {n: sum(size[r.doc_id] for r in of[n]) for n in names}
+    low, high, total = 0.0, 1e12, sum(whole.values())
+    for _ in range(200):
+        level = (low + high) / 2
+        goal = {n: min(level * (1 + i % 3), 3 * whole[n]) for i, n in enumerate(names)}
+        low, high = (level, high) if sum(goal.values()) < total else (low, level)
+    want = Counter({r.doc_id: 0 for r in rows})
+    for n in names:
+        left = min(round(goal[n]), 3 * whole[n])
+        order = sorted(of[n], key=lambda r: (r.h % (1 << 64), r.doc_id))
+        while left:
+            for r in order:
+                part = min(left, size[r.doc_id])
+                want[r.doc_id] += part
+                left -= part
+    got = {r.doc_id: r.taken for r in mix(docs, block_words=777).collect()}
+    off = [i for i in want if abs(got[i] - want[i]) > 0]
+    assert len(got) == len(rows) and len(off) <= len(names) and all(abs(got[i] - want[i]) <= 1 for i in off)  # a target may round either way
+
+
 def test_schedule_is_a_permutation_with_low_discrepancy(spark, small):
     m = Mix(spark.read.parquet(f"{small}/documents.parquet"), block_words=500)
     slots = sorted(m.schedule().collect())
