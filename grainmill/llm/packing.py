@@ -43,6 +43,13 @@ PIECE_ROWS = 2000
 CALL_WORDS = 4096
 
 
+def byte_letters() -> dict[int, str]:
+    """The letters that byte-level vocabularies write bytes in: printable ones stand for themselves, others come behind in order."""
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 class WordIds:
     """Token ids of whole texts under a vocabulary whose tokens never cross white space.
 
@@ -57,8 +64,22 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.table = byte_letters()
+        probes = ["a", "letters", "LETTERS", "straße", "déjà", "Ñandú", "œuvre", "zzxqj", "ż", "ﬁ"]
+        self.plain = all(self.merged(w) in (None, e.ids) for w, e in zip(probes, self.tokenizer.encode_batch_fast(probes, add_special_tokens=False)))
         self.forget()
 
+    def merged(self, word: str) -> list[int] | None:
+        """Ids of a word of Latin letters alone, by the merges without the steps before them, which leave it whole; None for others."""
+        if word.isascii():
+            word = word.lower()
+        elif self.tokenizer.normalizer is None or max(word := self.tokenizer.normalizer.normalize_str(word)) >= "\u0250":
+            return None
+        else:
+            word, letters = word.encode().decode("latin-1").translate(self.table), word.isalpha()
+            return [t.id for t in self.tokenizer.model.tokenize(word)] if letters else None
+        return [t.id for t in self.tokenizer.model.tokenize(word)] if word.isalpha() else None
+
     def forget(self) -> None:
         self.key, self.check = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
         self.start, self.size = np.zeros(0, np.int64), np.zeros(0, np.int32)
@@ -77,10 +98,12 @@ class WordIds:
         missing = np.flatnonzero(at < 0)
         if len(missing):
             missing = missing[np.unique(hashes[missing], axis=0, return_index=True)[1]]
-            ids: list[list[int]] = []
-            for start in range(0, len(missing), CALL_WORDS):
-                part = [words[i] for i in missing[start : start + CALL_WORDS]]
-                ids += [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+            ids = [self.merged(words[i]) if self.plain and words[i] else None for i in missing]
+            left = [k for k, found in enumerate(ids) if found is None]
+            for start in range(0, len(left), CALL_WORDS):
+                part = left[start : start + CALL_WORDS]
+                for k, e in zip(part, self.tokenizer.encode_batch_fast([words[missing[k]] for k in part], add_special_tokens=False)):
+                    ids[k] = e.ids
             size = np.fromiter(map(len, ids), np.int32, len(ids))
             start = len(self.known) + np.cumsum(size, dtype=np.int64) - size
             self.known = np.concatenate([self.known, np.fromiter((x for e in ids for x in e), "<u4", int(size.sum()))])
@@ -111,22 +134,30 @@ class WordIds:
         words = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
         coded = words.flatten().dictionary_encode()
         codes, bounds = coded.indices.to_numpy(), words.offsets.to_numpy()
-        distinct = coded.dictionary.to_pylist()
+        parts = coded.dictionary.to_pylist()
         # a letter run and the mark behind it are tokens of their own
-        cut = np.array([w[-1:] in (",", ".") and self.letters(w[:-1]) for w in distinct], bool)
-        parts = [w[:-1] if c else w for w, c in zip(distinct, cut)]
+        dot, comma = (np.asarray(pc.ends_with(coded.dictionary, m)) for m in ".,")
+        cut = dot | comma
+        for k in np.flatnonzero(cut).tolist():
+            stem = parts[k][:-1]
+            if self.letters(stem):
+                parts[k] = stem
+            else:
+                cut[k] = False
         known, first, size = self.encode([*parts, ",", "."])
-        mark = np.array([w[-1:] == "." for w in distinct], np.int64) + len(distinct)
-        bounds = bounds - bounds[0]
-        out = []
-        for a, b in zip(bounds[:-1], bounds[1:]):
-            c = codes[a:b]
-            # each word's ids, and those of its mark
-            begin = np.stack([first[c], first[mark[c]]], 1).ravel()
-            n = np.stack([size[c], np.where(cut[c], size[mark[c]], 0)], 1).ravel()
-            at = np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-            out.append(known[at])
-        return out
+        mark = len(parts) + dot.astype(np.int64)
+        # ids of each distinct word and its mark in a row, then those of all words of all texts
+        whole, sizes = gathered(known, np.stack([first[:-2], first[mark]], 1).ravel(), np.stack([size[:-2], np.where(cut, size[mark], 0)], 1).ravel())
+        sizes = sizes.reshape(-1, 2).sum(1)
+        flat, each = gathered(whole, (np.cumsum(sizes) - sizes)[codes], sizes[codes])
+        ends = np.concatenate([[0], np.cumsum(each)])[bounds - bounds[0]]
+        return [flat[a:b] for a, b in zip(ends[:-1], ends[1:])]
+
+
+def gathered(ids: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The stretches of ``ids`` that begin there and are so long, in a row, and their sizes."""
+    at = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+    return ids[at], size
 
 
 @lru_cache(maxsize=2)
