@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from grainmill.llm.arrow import bound_batches
 from grainmill.operators.components import connected_components
-from grainmill.runtime import settle, small_enough
+from grainmill.runtime import forget, settle, small_enough
 
 #: Dimensions of a block, about.
 BLOCK = 16
@@ -169,8 +169,10 @@ def near_duplicates(df: DataFrame, cosine: float = 0.93, id_col: str = "vec_id",
         "class", (F.coalesce("links", F.lit(0)) + F.col("members") - 1).alias("n_links"), F.coalesce("group", "class").alias("group"), "least"
     )
     known = settle(known, "class-facts")
+    forget(classes, sizes, found)
     least = settle(known.groupBy("group").agg(F.min("least").alias("component_id")), "least-ids")
     facts = settle(known.join(least, "group").select("class", "n_links", "component_id"), "facts")
+    forget(known, least)
     out = slim.join(facts, "class", "left")
     own = F.col("vec_id")
     component = F.when(F.col("class").isNull(), own).otherwise(F.col("component_id"))

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grainmill.llm.lines import bind, key_hash, line_key, with_row_hash, without_places
-from grainmill.runtime import delete_path, scratch_path, settle, small_enough
+from grainmill.runtime import delete_path, forget, scratch_path, settle, small_enough
 
 BATCHES = 4
 FANOUT = 3
@@ -73,8 +73,8 @@ class LineRuns:
         batch = Run(met.select(*KEY, F.col("n"), _sum(met).alias("total")), self.buckets)
         reached = F.col("total") >= self.min_docs
         self.frequent.append(Run(batch.rows.where(reached).select(*KEY), self.buckets))
-        self._put(Run(batch.rows.where(~reached).select(*KEY, "n"), self.buckets), 0)
-        batch.drop()
+        batch.rows = batch.rows.where(~reached).select(*KEY, "n")
+        self._put(batch, 0)
 
     def close(self) -> DataFrame:
         """The frequent keys, written; the runs are gone."""
@@ -126,7 +126,9 @@ def line_table(df: DataFrame, min_chars: int, text_col: str, ids: list[str], bat
     rows = with_row_hash(df, *ids, text_col).select("r1", "r2", batch, F.explode(_entries(text_col, min_chars)).alias("x")).select("r1", "r2", "x.pos", "x.k1", "x.k2", "x.first", "batch")
     path = scratch_path(spark, "lines")
     rows.write.partitionBy("batch").parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
+    out = spark.read.schema(rows.schema).parquet(path)
+    out._grainmill_path = path
+    return out
 
 
 def frequent_lines(lines: DataFrame, min_docs: int, batches: int = BATCHES) -> DataFrame:
@@ -143,6 +145,7 @@ def _marked(df: DataFrame, min_docs: int, min_chars: int, text_col: str, ids: li
     frequent = frequent_lines(lines, min_docs, batches)
     hits = lines.join(small_enough(frequent, BROADCAST_KEYS) or frequent, KEY)
     dropped = settle(hits.groupBy("r1", "r2").agg(F.collect_set("pos").alias("__drop")), "dropped")
+    forget(lines, frequent)
     return with_row_hash(df, *ids, text_col).join(dropped, ["r1", "r2"], "left").drop("r1", "r2")
 
 

@@ -346,11 +346,14 @@ class NearDuplicates:
         self.pivots = settle(pivots, "pivots")
         self.members = settle(members.join(self.pivots, ["band", "value"]).select("band", "value", "class", "n", "pivot", "size"), "members")
         with_pivot = self.members.where(self._sized(F.col("n"), F.col("pivot.n"))).select(F.col("class").alias("a"), F.col("pivot.class").alias("b")).where("a <> b")
-        links = self._links(settle(with_pivot.distinct(), "pivot-pairs"))
-        parts = settle(connected_components(links), "components")
+        pairs = settle(with_pivot.distinct(), "pivot-pairs")
+        links = self._links(pairs)
+        first = parts = settle(connected_components(links), "components")
         more = self._outside_links(parts)
         if more.take(1):
             parts = settle(connected_components(links.unionByName(more)), "components")
+            forget(first)
+        forget(pairs, links, more, self.pivots, self.members)
         self.facts = self.classes.select("class", "n").join(parts.withColumnRenamed("node", "class"), "class", "left").select("class", "n", F.coalesce("component", "class").alias("component"))
 
     def _sized(self, a, b):
@@ -388,9 +391,9 @@ class NearDuplicates:
         loose = settle(loose.select("band", "value", "class", "n", "component", "loose", "pivot"), "loose")
         counts = loose.groupBy("band", "value").agg(F.sum(F.col("loose").cast("int")).alias("outs"), F.count(F.lit(1)).alias("all")).where("outs > 0")
         counts = counts.select("band", "value", F.ceil(F.col("outs") / CHUNK).cast("int").alias("hn"), F.ceil(F.col("all") / CHUNK).cast("int").alias("gn"))
-        counts = settle(counts, "open-buckets")
+        buckets = settle(counts, "open-buckets")
         # the pivot has met every member already
-        met = loose.where(F.col("class") != F.col("pivot.class")).join(counts, ["band", "value"]).drop("pivot")
+        met = loose.where(F.col("class") != F.col("pivot.class")).join(buckets, ["band", "value"]).drop("pivot")
         met = settle(met, "open-members")
         marks = self.classes.select("class", "sketch", "bands")
         both = met.withColumn("outside", F.explode(F.when(F.col("loose"), F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(False)))))
@@ -401,9 +404,12 @@ class NearDuplicates:
         place = lambda here, there: F.when(F.col("outside"), F.col(here)).otherwise(F.col(there))
         units = both.select("band", "value", place("mine", "other").alias("hi"), place("other", "mine").alias("gi"), "class", "n", "component", "loose", "outside", "sketch", "bands")
         likely = settle(units.groupBy(*key).applyInArrow(likely_members(self.percent, self.least), MEMBER), "likely-members")
-        full = likely.join(marks, "class").join(self._texts(likely.select("class")), "class")
+        texts = self._texts(likely.select("class"))
+        full = likely.join(marks, "class").join(texts, "class")
         found = full.groupBy(*key).applyInArrow(outside_links(self.shingle, self.percent, self.least), "a binary, b binary")
-        return settle(found, "outside-links", PAIR_ROWS)
+        found = settle(found, "outside-links", PAIR_ROWS)
+        forget(placed, main, loose, buckets, met, likely, texts)
+        return found
 
 
 def near_duplicates(df: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -415,6 +421,7 @@ def near_duplicates(df: DataFrame, shingle: int = 5, percent: int = 80, id_col:
     named = settle(named, "named-classes")
     least = settle(named.groupBy("component").agg(F.min("least").alias("component_id")), "least-ids")
     ids = settle(named.join(least, "component").select("class", "component_id"), "class-ids")
+    forget(facts, named, least)
     out = own.join(ids, "class", "left")
     component = F.when(F.col("class").isNull(), F.col("__id")).otherwise(F.col("component_id"))
     return out.select(F.col("__id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("__id").eqNullSafe(component).alias("kept"))

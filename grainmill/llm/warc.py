@@ -224,6 +224,7 @@ def write_archives(
     dealt = records.repartitionById(len(cuts) + 1, F.col("shard")).sortWithinPartitions("shard", F.asc_nulls_last("id"), "tie", "own", "kind", "url")
     dealt = dealt.select("shard", "id", "own", "kind", "url", "payload", "first", "first_url")
     facts = settle(dealt.mapInArrow(write_shards(folder, roll_bytes), FILE_FACTS), "file-facts", PAGE_ROWS)
+    forget(slim, firsts)
     commit(spark, folder, [r.asDict() for r in facts.collect()])  # a row for each file
     return facts.select("name", "bytes", "records", "sha256")
 
