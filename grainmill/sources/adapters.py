@@ -48,16 +48,17 @@ def query_for(task: Column) -> Column:
     )
 
 
-def provenance_json(name: str, columns: list[str]) -> Column:
-    """Dataset, file, row and the annotations the input has, null ones included."""
+def provenance_json(name: str, columns: list[str], more: dict[str, str | None] | None = None) -> Column:
+    """Dataset, file, row and the annotations the input has, null ones included, and what ``more`` says; fields in alphabetical order."""
     kept = [c for c in ANNOTATIONS[name].split() if c in columns]
-    return F.to_json(
-        F.struct(F.lit(S.DATASET_IDS[name]).alias("dataset_id"), F.col("file"), F.struct(*kept).alias("original_annotations") if kept else F.struct(F.lit(None).alias("none")).alias("original_annotations"), F.col("row_index")),
-        {"ignoreNullFields": "false"},
-    )
+    fields = {
+        "dataset_id": F.lit(S.DATASET_IDS[name]), "file": F.col("file"), "row_index": F.col("row_index"),
+        "original_annotations": F.struct(*kept) if kept else F.struct(F.lit(None).alias("none")),
+    } | {k: F.lit(v).cast("string") for k, v in (more or {}).items()}
+    return F.to_json(F.struct(*[fields[k].alias(k) for k in sorted(fields)]), {"ignoreNullFields": "false"})
 
 
-def expanded(name: str, rows: DataFrame, split: str) -> DataFrame:
+def expanded(name: str, rows: DataFrame, split: str, more: dict[str, str | None] | None = None) -> DataFrame:
     """A row for each task of each input row, with ``skip`` or ``violation`` where it gives no record.
 
     ``rows`` has ``file, row_index`` and the source's columns. The checks stand in the order
@@ -82,7 +83,7 @@ def expanded(name: str, rows: DataFrame, split: str) -> DataFrame:
         specs = [entry("prompt_injection", label, F.when(label == 1, "yes").otherwise("no"), label.isin(0, 1))]
     base = rows.select(
         F.lit(name).alias("source"), source_id(F.col("file"), has("id"), F.col("row_index")).alias("source_id"), F.lit(split).alias("source_split"),
-        prompt.alias("__prompt"), response.alias("__response"), provenance_json(name, rows.columns).alias("provenance"), F.explode(F.array(*specs)).alias("__t"),
+        prompt.alias("__prompt"), response.alias("__response"), provenance_json(name, rows.columns, more).alias("provenance"), F.explode(F.array(*specs)).alias("__t"),
     )
     base = base.select("*", "__t.*").drop("__t")
     about_response = F.col("task").isin("response_moderation", "refusal")
@@ -105,9 +106,9 @@ def skip_counts(rows: DataFrame) -> DataFrame:
     return first.distinct().groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
-def records(name: str, rows: DataFrame, split: str) -> DataFrame:
-    """Canonical records of a source file's rows; fails on a label outside its domain."""
-    full = expanded(name, rows, split)
+def records(name: str, rows: DataFrame, split: str, more: dict[str, str | None] | None = None) -> DataFrame:
+    """Canonical records of a source file's rows; fails on a label outside its domain. ``more`` goes into their provenance."""
+    full = expanded(name, rows, split, more)
     wrong = full.where("violation is not null").groupBy("violation").count().collect()  # a row for each task
     if wrong:
         raise ValueError(f"{name}: " + ", ".join(f"{r[0]} ({r[1]} rows)" for r in wrong))
