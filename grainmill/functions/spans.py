@@ -93,15 +93,15 @@ def bioes_spans(text: Column, tokens: Column) -> Column:
 
 
 def apply_redactions(text: Column, spans: Column) -> Column:
-    """The text with each chosen span replaced by its placeholder."""
-    zero = F.struct(F.lit("").alias("out"), F.lit(0).alias("cursor"))
+    """The text with each chosen span replaced by its placeholder. Pieces are cut between neighbours and joined once."""
 
-    def step(acc: Column, s: Column) -> Column:
-        gap = F.substring(text, acc["cursor"] + 1, s["start"] - acc["cursor"])
-        return F.struct(F.concat(acc["out"], gap, s["placeholder"]).alias("out"), s["end"].alias("cursor"))
+    def joined(kept: Column) -> Column:
+        before = lambda i: F.coalesce(F.get(kept, i - 1)["end"], F.lit(0))
+        pieces = F.transform(kept, lambda s, i: F.concat(F.substring(text, before(i) + 1, s["start"] - before(i)), s["placeholder"]))
+        rest = F.substring(text, before(F.size(kept)) + 1, F.length(text))
+        return F.concat(F.array_join(pieces, ""), rest)
 
-    end = lambda acc: F.concat(acc["out"], F.substring(text, acc["cursor"] + 1, F.length(text)))
-    return F.aggregate(non_overlapping(spans), zero, step, end)
+    return F.transform(F.array(non_overlapping(spans)), joined)[0]  # the chosen spans are worked out once
 
 
 def label_set(spans: Column) -> Column:

@@ -26,9 +26,8 @@ MAX_TOKENS = 4096
 MAX_REQUEST_CHARS = 2_000_000
 DECODE_MODE = "bioes_argmax"
 BACKEND = "onnx"
-#: Labels on which the gate fails unless others are given, and a model folder's files.
+#: Labels on which the gate fails unless others are given.
 FAIL_ON = ("PRIVATE_EMAIL", "PRIVATE_PHONE", "ACCOUNT_NUMBER", "SECRET")
-MODEL_FILES = ("config.json", "tokenizer.json", "tokenizer_config.json", "viterbi_calibration.json")
 
 
 class RedactorError(RuntimeError):
