@@ -5,9 +5,11 @@ others too. Of a group only the records of its highest split stay (test, validat
 train); train groups go to validation by a draw on the group. Among the records that stay,
 examples with two answers go, and equal examples become one with all its origins.
 
-All shuffles move 64-character fingerprints except the last, which picks the first record
-of each example. Group and example facts are aggregated before they are shuffled and come
-back by joins, not windows, so one giant group is no giant task.
+What is shuffled is a slim row for each record: fingerprints, keys and the short columns.
+Whole texts are written once and meet the chosen rows once, by a hash of the row; they are
+shuffled again only if records of one example share the order's first four columns, and then
+only those that were chosen. Group and example facts are aggregated before they are shuffled
+and come back by joins, not windows, so one giant group is no giant task.
 """
 
 from __future__ import annotations
@@ -17,11 +19,13 @@ from pyspark.sql import functions as F
 
 from grainmill.functions.text import blank, digest, example_key, normalized, normalized_all, unit_draw
 from grainmill.operators.components import connected_components
-from grainmill.runtime import settle
+from grainmill.runtime import forget, settle
 from grainmill.schemas import ANSWERS, EVALUATION_ONLY, REQUIRED, SPLIT_RANK, SPLITS, SYSTEM_PROMPT, TASKS
 
 SEED, VALIDATION_FRACTION = 42, 0.05
-ORDER = ("source", "source_id", "task", "source_split", "document")
+#: Records of an example stand in the order of these and the document; the first gives the example.
+HEAD = ("source", "source_id", "task", "source_split")
+ORDER = (*HEAD, "document")
 
 
 def rank_of(split: Column) -> Column:
@@ -37,14 +41,14 @@ def violation() -> Column:
     out = None
     for name in REQUIRED:
         bad = blank(F.col(name))
-        out = F.when(bad, F.lit(f"missing/empty {name}")) if out is None else out.when(bad, F.lit(f"missing/empty {name}"))
+        out = F.when(bad, F.lit(f"{name} is blank")) if out is None else out.when(bad, F.lit(f"{name} is blank"))
     groups = F.col("group_texts")
     for bad, what in (
-        (~F.col("source_split").isin(*SPLITS), "unsupported source split"),
-        (~F.col("task").isin(*TASKS) | ~F.col("answer").isin(*ANSWERS), "unsupported task or answer"),
-        (groups.isNull() | (F.size(groups) == 0), "no group anchor"),
-        (F.exists(groups, blank), "invalid group anchor"),
-        ((F.col("source") == EVALUATION_ONLY) & (F.col("source_split") != "test"), f"{EVALUATION_ONLY} must remain evaluation-only"),
+        (~F.col("source_split").isin(*SPLITS), "the split is none of the known ones"),
+        (~F.col("task").isin(*TASKS) | ~F.col("answer").isin(*ANSWERS), "the task or the answer is none of the known ones"),
+        (groups.isNull() | (F.size(groups) == 0), "nothing to group by"),
+        (F.exists(groups, blank), "a text to group by is blank"),
+        ((F.col("source") == EVALUATION_ONLY) & (F.col("source_split") != "test"), f"{EVALUATION_ONLY} is for tests alone"),
     ):
         out = out.when(bad, F.lit(what))
     return out
@@ -78,10 +82,24 @@ def anchor_edges(records: DataFrame) -> DataFrame:
     return records.select(F.col("anchors")[0].alias("anchor_a"), F.explode(F.slice("anchors", 2, F.greatest(F.size("anchors") - 1, F.lit(0)))).alias("anchor_b")).distinct()
 
 
+#: The columns that decide, without texts.
+SLIM = ("k1", "k2", "source", "source_id", "task", "source_split", "rank", "answer", "provenance", "document_sha256", "example_id", "anchors")
+
+
+def slim(records: DataFrame) -> DataFrame:
+    """Fingerprinted records without their texts, with ``k1, k2``, 128 bits of the whole row."""
+    return records.withColumns(row_keys()).select(*SLIM)
+
+
+def row_keys() -> dict[str, Column]:
+    cols = [F.col(c) for c in (*ORDER, "instruction", "query", "answer", "provenance")]
+    return {"k1": F.xxhash64(*cols), "k2": F.xxhash64(F.lit("second"), *cols)}
+
+
 def grouped(records: DataFrame) -> DataFrame:
-    """Records with ``group_id``, the least anchor of their group, dropped records included."""
+    """Records (slim ones at scale) with ``group_id``, the least anchor of their group, dropped records included."""
     parts = connected_components(anchor_edges(records), "anchor_a", "anchor_b")
-    first = records.withColumn("__a", F.col("anchors")[0])
+    first = records.withColumn("__a", F.col("anchors")[0]).drop("anchors")
     return first.join(settle(parts, "groups"), F.col("__a") == F.col("node"), "left").withColumn("group_id", F.coalesce("component", "__a")).drop("__a", "node", "component")
 
 
@@ -103,29 +121,45 @@ class Combined:
     def __init__(self, records: DataFrame, seed: int = SEED, fraction: float = VALIDATION_FRACTION):
         if not 0 <= fraction < 1:
             raise ValueError("the validation fraction must be in [0, 1)")
-        self.rows = settle(fingerprinted(validate(records)), "records")
-        named = settle(grouped(self.rows), "grouped")
+        self.rows = settle(fingerprinted(validate(records)).withColumns(row_keys()), "records")
+        named = settle(grouped(self.rows.select(*SLIM)), "grouped")
         facts = settle(group_facts(named, seed, fraction), "group-facts")
         whole = named.join(facts, "group_id")
-        stays = whole.where("rank = highest")
-        answers = stays.groupBy("example_id").agg((F.min("answer") != F.max("answer")).alias("conflict"))
-        first = F.struct(*[F.col(c) for c in ORDER], "instruction", "query", "answer", F.coalesce("provenance", F.lit("")).alias("provenance"))
-        stays = stays.join(settle(answers, "answers"), "example_id")
-        agreed = stays.where("not conflict")
-        origin = F.struct("source", "source_id", "task", "source_split", F.when(~F.coalesce(F.col("provenance"), F.lit("")).isin("", "{}"), F.col("provenance")).alias("provenance"))
+        stays = settle(whole.where("rank = highest"), "staying")
+        given = F.size(F.collect_set("answer")).cast("long")  # at most as many as there are answers
+        answers = settle(stays.groupBy("example_id").agg(given.alias("n_answers")), "answers")
+        told = stays.join(answers.select("example_id", (F.col("n_answers") > 1).alias("conflict")), "example_id")
+        #: ``example_id, n_answers`` of the examples that go because they have several answers.
+        self.conflicts = answers.where("n_answers > 1")
+        self.examples = settle(self._examples(told.where("not conflict")), "examples")
+        short = lambda df, fate: df.select("source", "group_id", "example_id", "source_split", "target", fate.alias("fate"))
+        gone = short(whole.where("rank < highest"), F.lit("overlap"))
+        self.flagged = settle(gone.unionByName(short(told, F.when(F.col("conflict"), "conflict").otherwise("agreed"))), "flagged")
+        forget(named, facts, stays)
+
+    def _examples(self, agreed: DataFrame) -> DataFrame:
+        """One row for each example: its first record, with the texts, and all its origins."""
+        blank_ = F.coalesce(F.col("provenance"), F.lit("")).isin("", "{}")
+        origin = F.struct("source", "source_id", "task", "source_split", F.when(~blank_, F.col("provenance")).alias("provenance"))
         best = agreed.groupBy("example_id").agg(
-            F.min(first).alias("r"), F.array_sort(F.collect_set(origin)).alias("o"), F.count(F.lit(1)).alias("n_records"),
+            F.min(F.struct(*HEAD, "k1", "k2")).alias("r"), F.array_sort(F.collect_set(origin)).alias("o"), F.count(F.lit(1)).alias("n_records"),
             *[F.first(c).alias(c) for c in ("group_id", "target", "document_sha256")],
         )
-        kept = best.select(
-            "example_id", "group_id", F.col("target").alias("split"), "document_sha256", *[F.col(f"r.{c}").alias(c) for c in (*ORDER, "instruction", "query", "answer")],
-            F.when(F.col("r.provenance") == "", "{}").otherwise(F.col("r.provenance")).alias("provenance"),
+        best = settle(best, "best")
+        texts = self.rows.select("k1", "k2", "document", "instruction", "query", "answer", F.coalesce("provenance", F.lit("")).alias("provenance"))
+        if agreed.groupBy("example_id", *HEAD).count().where("count > 1").take(1):  # the text decides which of them is first
+            tied = agreed.join(best.select("example_id", "r"), "example_id").where(F.struct(*HEAD) == F.struct(*[F.col(f"r.{c}") for c in HEAD]))
+            tied = settle(tied.select("example_id", "k1", "k2").distinct(), "tied")
+            first = F.min(F.struct("document", "instruction", "query", "answer", "provenance")).alias("t")
+            chosen = tied.join(texts, ["k1", "k2"]).groupBy("example_id").agg(first).select("example_id", "t.*")
+            full = best.join(chosen, "example_id")
+        else:
+            full = best.withColumns({"k1": F.col("r.k1"), "k2": F.col("r.k2")}).join(texts, ["k1", "k2"])
+        return full.select(
+            "example_id", "group_id", F.col("target").alias("split"), "document_sha256", *[F.col(f"r.{c}").alias(c) for c in HEAD], "document", "instruction", "query", "answer",
+            F.when(F.col("provenance") == "", "{}").otherwise(F.col("provenance")).alias("provenance"),
             F.transform("o", lambda x: F.struct(x["source"].alias("source"), x["source_id"].alias("source_id"), x["source_split"].alias("source_split"), x["provenance"].alias("provenance"))).alias("origins"), "n_records",
         )
-        self.examples = settle(kept, "examples")
-        slim = lambda df, *more: df.select("source", "group_id", "example_id", "source_split", "target", *more)
-        gone = slim(whole.where("rank < highest"), F.lit("overlap").alias("fate"))
-        self.flagged = settle(gone.unionByName(slim(stays, F.when(F.col("conflict"), "conflict").otherwise("agreed").alias("fate"))), "flagged")
 
     def audit(self) -> DataFrame:
         """``counter, n``: the counters of the combination; the dropped ones only where not zero."""

@@ -59,7 +59,7 @@ LOCKED = [("s1", "r1", "p1", "h1"), ("s1", "r1", "p2", "h2"), ("s1", "r1", "p4",
 FETCHED = [("s1", "p1", "h1"), ("s1", "p2", "changed"), ("s1", "p3", "h3"), ("s2", "p9", "h9")]
 
 
-@Q("scan_json_array")
+@Q("scan_json_array", "SELECT * FROM (VALUES (0, 'a', 'x'), (1, NULL, 'two' || chr(10) || 'lines'), (2, '', NULL)) t(row_index, id, prompt)")
 def _(spark, d):
     return scans.json_array(spark, fixtures.written(spark, PROMPTS), scans.T.StructType([scans.T.StructField("id", S.S), scans.T.StructField("prompt", S.S)])).drop("file")
 
@@ -74,7 +74,7 @@ def _(spark, d):
     return scans.require_files(rows(spark, [(x,) for x in LISTED], "filename string"), "notinject")
 
 
-@Q("scan_jsonl_ordinal")
+@Q("scan_jsonl_ordinal", "SELECT * FROM (VALUES (0, 'a' || chr(10) || 'b'), (1, 'c'), (2, 'é')) t(ordinal, context)")
 def _(spark, d):
     got = scans.json_lines(spark, fixtures.written(spark, CONTEXTS), scans.T.StructType([scans.T.StructField("context", scans.T.ArrayType(S.S))]))
     return got.select("ordinal", tx.joined_text(F.col("context"), "context").alias("context"))
@@ -98,12 +98,12 @@ def _(spark, d):
     return attack_rows(spark).select("kind", "split", "ord", "attack_name")
 
 
-@Q("scan_samples")
+@Q("scan_samples", "SELECT * FROM (VALUES ('1', 'mail'), ('2', 'phone')) t(id, text)")
 def _(spark, d):
     return scans.samples(spark, fixtures.written(spark, SAMPLES))
 
 
-@Q("gate_files")
+@Q("gate_files", "SELECT 'file' AS path, 'one' || chr(10) || 'two' || chr(10) || 'three' || chr(10) AS text")
 def _(spark, d):
     return scans.whole_files(spark, fixtures.written(spark, "one\r\ntwo\rthree")).select(F.lit("file").alias("path"), "text")
 
@@ -119,10 +119,19 @@ def _(spark, d):
     return scans.lock_entries(rows(spark, nested, S.LOCK))
 
 
-@Q("verify_checksums", "SELECT doc_id, doc_id % 7 <> 0 AS ok FROM documents")
+#: Files as they are, and the text whose checksum is pinned for each name.
+PINNED_FILES = [("a.txt", "alpha", "alpha"), ("b.txt", "beta", "other"), ("c.txt", None, "gamma"), ("d.txt", "delta", None)]
+
+
+@Q("verify_checksums", "SELECT path, CASE WHEN had IS NULL THEN 'missing' WHEN pinned IS NULL THEN 'unexpected' WHEN sha256(had || chr(10)) = sha256(pinned || chr(10)) THEN 'ok' ELSE 'changed' END AS status FROM (VALUES " + ", ".join(f"({quoted(n)}, {'NULL' if h is None else quoted(h)}, {'NULL' if p is None else quoted(p)})" for n, h, p in PINNED_FILES) + ") t(path, had, pinned)")
 def _(spark, d):
-    pinned = docs(spark, d).select("doc_id", F.sha2(F.concat("text", F.when(F.col("doc_id") % 7 == 0, "x").otherwise("")), 256).alias("pinned"))
-    return docs(spark, d).join(pinned, "doc_id").select("doc_id", (F.sha2("text", 256) == F.col("pinned")).alias("ok"))
+    there = rows(spark, [(n, h) for n, h, _ in PINNED_FILES if h], "name string, value string")
+    folder = scratch_path(spark, "pinned")
+    there.write.partitionBy("name").text(folder)
+    name = F.regexp_extract("path", "name=([^/]+)/", 1)
+    got = scans.checksums(spark, f"{folder}/*/part-*").select(F.lit("s").alias("source"), name.alias("path"), "sha256")
+    pinned = rows(spark, [("s", n, p) for n, _, p in PINNED_FILES if p], "source string, path string, text string")
+    return build.lock_status(pinned.select("source", "path", F.sha2(F.concat("text", F.lit("\n")), 256).alias("sha256")), got).select("path", "status")
 
 
 @Q("union_sources", "SELECT 'documents' AS source, count(*) AS n FROM documents UNION ALL SELECT 'benchmark', count(*) FROM benchmark UNION ALL SELECT 'conversations', count(*) FROM conversations")
@@ -134,16 +143,25 @@ def _(spark, d):
 # Sinks ----------------------------------------------------------------------------------
 
 
-@Q("export_jsonl_rows", canon_sql("SELECT target AS split, count(*) AS n_rows FROM firsts GROUP BY target"))
+@Q("export_jsonl_rows", canon_sql("""
+  SELECT target AS split, example_id, source_id, '<Instruct>: ' || instruction || chr(10) || chr(10) || '<Query>: ' || query || chr(10) || chr(10) || '<Document>: ' || document AS "user",
+         answer AS assistant, (SELECT count(*) FROM agreed a WHERE a.example_id = firsts.example_id) AS n_origins FROM firsts"""))
 def _(spark, d):
-    return build.json_rows(combined(spark, d).messages()).where("line is not null").groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"))
+    """The lines as they are written, read back as JSON."""
+    lines = build.json_rows(combined(spark, d).messages()).select("line")
+    at = lambda path: F.get_json_object("line", path)
+    return lines.select(
+        at("$.metadata.split").alias("split"), at("$.metadata.example_id").alias("example_id"), at("$.metadata.source_id").alias("source_id"), at("$.messages[1].content").alias("user"),
+        at("$.messages[2].content").alias("assistant"), F.json_array_length(at("$.metadata.origins")).cast("long").alias("n_origins"),
+    )
 
 
-@Q("export_file_audit")
+@Q("export_file_audit", canon_sql("SELECT target AS split, count(*) AS n_rows FROM firsts GROUP BY target"))
 def _(spark, d):
+    """Rows of the exported files by split; their bytes and hashes are for the unit test."""
     folder = scratch_path(spark, "export")
     build.export(combined(spark, d), folder)
-    return build.audit_files(spark, folder)
+    return build.audit_files(spark, folder).groupBy(F.regexp_extract("file", "split=([a-z]+)", 1).alias("split")).agg(F.sum("rows").alias("n_rows"))
 
 
 _COUNTS = """
@@ -203,18 +221,19 @@ def _(spark, d):
     return rows(spark, [(1, ["a", "b"]), (2, ["x"])], "id int, parts array<string>").select("id", tx.joined_text(F.col("parts"), "context").alias("text"))
 
 
-MARKS = [(1, "REDACTED"), (2, " <Redacted> "), (3, "[redacted]\n"), (4, "redacted text"), (5, ""), (6, None)]
+_MARKED = "CASE doc_id % 6 WHEN 0 THEN 'REDACTED' WHEN 1 THEN ' <Redacted> ' WHEN 2 THEN '[redacted]' || char(10) WHEN 3 THEN 'redacted ' || text WHEN 4 THEN NULL ELSE text END"
 
 
-@Q("is_redacted", "SELECT id, id <= 3 AS redacted FROM range(1, 7) t(id)")
+@Q("is_redacted", "SELECT doc_id, doc_id % 6 < 3 AS redacted FROM documents WHERE trim(text) NOT IN ('', 'REDACTED')")
 def _(spark, d):
-    return rows(spark, MARKS, "id long, t string").select("id", tx.is_redacted(F.col("t")).alias("redacted"))
+    base = docs(spark, d).where(~F.btrim("text").isin("", "REDACTED"))
+    return base.select("doc_id", tx.is_redacted(F.expr(_MARKED)).alias("redacted"))
 
 
-@Q("source_id", "SELECT doc_id, 'documents.parquet:' || doc_id AS source_id FROM documents")
+@Q("source_id", "SELECT doc_id, 'documents.parquet:' || CASE WHEN doc_id % 3 > 0 THEN 'id' || (7 * doc_id + 1) ELSE doc_id::VARCHAR END AS source_id FROM documents")
 def _(spark, d):
     got = scans.parquet_rows(spark, f"{d}/documents.parquet")
-    return got.select("doc_id", tx.source_id(F.lit("documents.parquet"), F.when(F.col("doc_id") % 3 > 0, F.col("doc_id")), F.col("row_index")).alias("source_id"))
+    return got.select("doc_id", tx.source_id(F.lit("documents.parquet"), F.when(F.col("doc_id") % 3 > 0, F.concat(F.lit("id"), 7 * F.col("doc_id") + 1)), F.col("row_index")).alias("source_id"))
 
 
 @Q("label_to_answer", "SELECT doc_id, CASE toxic WHEN 1 THEN 'yes' WHEN 0 THEN 'no' END AS answer FROM labels")
@@ -222,10 +241,22 @@ def _(spark, d):
     return table(spark, d, "labels").select("doc_id", adapters.mapped(F.col("toxic").cast("string"), {"1": "yes", "0": "no"}).alias("answer"))
 
 
-@Q("task_expand", "SELECT doc_id, task, CASE v WHEN 1 THEN 'yes' ELSE 'no' END AS answer FROM (SELECT doc_id, 'quality' AS task, quality AS v FROM labels UNION ALL SELECT doc_id, 'toxic', toxic FROM labels) WHERE v IS NOT NULL")
+@Q("task_expand", """
+  WITH r AS (SELECT documents.doc_id, toxic, quality FROM documents LEFT JOIN labels USING (doc_id) WHERE doc_id % 15 <> 0 AND doc_id % 16 <> 0)
+  SELECT doc_id, 'prompt_moderation' AS task, CASE toxic WHEN 1 THEN 'yes' ELSE 'no' END AS answer FROM r WHERE toxic IS NOT NULL
+  UNION ALL SELECT doc_id, 'response_moderation', CASE quality WHEN 1 THEN 'yes' ELSE 'no' END FROM r WHERE quality IS NOT NULL AND doc_id % 11 <> 0 AND doc_id % 13 <> 0
+  UNION ALL SELECT doc_id, 'refusal', CASE (toxic + quality) % 2 WHEN 1 THEN 'yes' ELSE 'no' END FROM r WHERE toxic + quality IS NOT NULL AND doc_id % 11 <> 0 AND doc_id % 13 <> 0""")
 def _(spark, d):
-    both = F.explode(F.array(*[F.struct(F.lit(t).alias("task"), F.col(t).alias("v")) for t in ("quality", "toxic")]))
-    return table(spark, d, "labels").select("doc_id", both.alias("x")).where("x.v is not null").select("doc_id", "x.task", F.when(F.col("x.v") == 1, "yes").otherwise("no").alias("answer"))
+    """The source with three tasks: each labelled row becomes up to three."""
+    base = labelled(spark, d).withColumn("doc_id", F.col("row_index"))
+    base = base.join(table(spark, d, "labels"), "doc_id", "left").drop("id", "prompt_label", "response_label")
+    word = lambda c, one, none: F.when(c == 1, one).when(c == 0, none)
+    base = base.withColumns({
+        "prompt_harm_label": word(F.col("toxic"), "harmful", "unharmful"), "response_harm_label": word(F.col("quality"), "harmful", "unharmful"),
+        "response_refusal_label": word((F.col("toxic") + F.col("quality")) % 2, "refusal", "compliance"), "adversarial": F.lit(False),
+    })
+    full = adapters.expanded("wildguard", base, "train").where("skip is null and violation is null")
+    return full.select(F.split("source_id", ":")[1].cast("long").alias("doc_id"), "task", "answer")
 
 
 @Q("conversation_document", f"""
@@ -352,27 +383,16 @@ def _(spark, d):
 
 # Spans ----------------------------------------------------------------------------------
 
-#: Texts, tokens, and the spans expected of them.
-TOKEN_CASES = [
-    (1, "Ada Lovelace mail a@b.c", [("B-private_person", 0, 3), ("E-private_person", 3, 12), ("O", 13, 17), ("S-private_email", 17, 23)], [("private_person", 0, 12, "Ada Lovelace"), ("private_email", 18, 23, "a@b.c")]),
-    (2, "one two three", [("I-x", 0, 3), ("I-x", 3, 7), ("E-y", 8, 13)], [("x", 0, 7, "one two"), ("y", 8, 13, "three")]),
-    (3, "a b c d", [("B-x", 0, 1), ("B-y", 2, 3), ("I-x", 4, 5), ("O", 5, 5), ("Q-x", 6, 7)], [("x", 0, 1, "a"), ("y", 2, 3, "b"), ("x", 4, 5, "c")]),
-    (4, "k-1 s", [("S-a-b", 0, 3), ("S", 4, 5)], [("a-b", 0, 3, "k-1"), ("S", 4, 5, "s")]),
-    (5, "   ", [("S-x", 0, 3)], []),
-    (6, "open end", [("B-x", 0, 4), ("I-x", 5, 8)], [("x", 0, 8, "open end")]),
-    (7, "none", [], []),
-    (8, "é😀z", [("S-x", 1, 2), ("S-x", 1, 3)], [("x", 1, 3, "😀z")]),
-]
-_SPANS_SQL = "SELECT * FROM (VALUES " + ", ".join(f"({i}::BIGINT, {quoted(a)}, {b}, {c}, {quoted(t)}, {quoted('<' + a.upper() + '>')})" for i, _t, _k, want in TOKEN_CASES for a, b, c, t in want) + ') t(doc_id, label, "start", "end", text, placeholder)'
-
+_WORD_LABEL = " ".join(f"WHEN regexp_full_match(word, {quoted(p)}) THEN {quoted(n)}" for n, p in reversed(redact.FIXTURE_PATTERNS.items()))
 
-def token_rows(spark):
-    return rows(spark, [(i, t, k) for i, t, k, _ in TOKEN_CASES], "doc_id long, body string, tokens array<struct<label:string,start:int,end:int>>")
 
-
-@Q("bioes_spans", _SPANS_SQL)
+@Q("bioes_spans", f"""
+  WITH words AS (SELECT doc_id, unnest(regexp_split_to_array(text, '[ \\n]')) AS word, generate_subscripts(regexp_split_to_array(text, '[ \\n]'), 1) AS i FROM documents),
+  placed AS (SELECT doc_id, word, CASE {_WORD_LABEL} END AS label, (sum(length(word) + 1) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) - 1)::INT AS stop FROM words)
+  SELECT doc_id, label, stop - length(word)::INT AS "start", stop AS "end", word AS text, '<' || upper(label) || '>' AS placeholder FROM placed WHERE label IS NOT NULL""")
 def _(spark, d):
-    return token_rows(spark).select("doc_id", F.explode(sp.bioes_spans(F.col("body"), F.col("tokens"))).alias("s")).select("doc_id", "s.*")
+    text = F.col("text")
+    return docs(spark, d).select("doc_id", F.explode(sp.bioes_spans(text, redact.fixture_tokens(text))).alias("s")).select("doc_id", "s.*")
 
 
 OVERLAPS = [("a", 0, 4), ("b", 0, 6), ("c", 5, 9), ("d", 6, 8), ("e", 8, 8), ("f", 8, 10)]
@@ -384,10 +404,19 @@ def _(spark, d):
     return spans.select("doc_id", F.explode(sp.non_overlapping(F.col("spans"))).alias("s")).select("doc_id", "s.label", "s.start", "s.end")
 
 
-@Q("span_trim", "SELECT * FROM (VALUES (1::BIGINT, 1, 3, 'ab'), (2, 0, 2, 'ab'), (3, 3, 3, '')) t(doc_id, \"start\", \"end\", text)")
+_HEAD = "substr('  ' || text, doc_id % 5 + 1, 40)"
+_LEFT = f"ltrim(h, {fixtures.SPACES_SQL})"
+_BODY = f"trim(h, {fixtures.SPACES_SQL})"
+
+
+@Q("span_trim", f"""
+  SELECT doc_id, (doc_id % 5 + length(h) - length({_LEFT}))::INT AS "start", (doc_id % 5 + length(h) - length({_LEFT}) + length({_BODY}))::INT AS "end", {_BODY} AS text
+  FROM (SELECT doc_id, {_HEAD} AS h FROM documents) WHERE {_BODY} <> ''""")
 def _(spark, d):
-    cases = rows(spark, [(1, " ab\t", (("x", 0, 4))), (2, "ab　", (("x", 0, 3))), (3, " \n\x1c", (("x", 0, 3)))], "doc_id long, body string, s struct<label:string,start:int,end:int>")
-    return cases.select("doc_id", sp.trimmed(F.col("body"), F.col("s")).alias("t")).select("doc_id", "t.start", "t.end", "t.text")
+    """Spans of up to 40 characters from one of the first places of a text behind two spaces."""
+    body, start = F.concat(F.lit("  "), F.col("text")), (F.col("doc_id") % 5).cast("int")
+    span = F.struct(F.lit("x").alias("label"), start.alias("start"), F.least(start + 40, F.length(body)).alias("end"))
+    return docs(spark, d).select("doc_id", sp.trimmed(body, span).alias("t")).where("t.text <> ''").select("doc_id", "t.start", "t.end", "t.text")
 
 
 _EMAIL, _LONG = (f"(^|[ \\n])({p})" for p in redact.FIXTURE_PATTERNS.values())
@@ -444,18 +473,23 @@ def _(spark, d):
 
 # Validation -----------------------------------------------------------------------------
 
-_GOOD = ("src", "id", "train", "refusal", "i", "q", "d", "yes", ["a"], None)
-BAD = [
-    (1, _GOOD, None), (2, (None, *_GOOD[1:]), "missing/empty source"), (3, (*_GOOD[:6], "  ", *_GOOD[7:]), "missing/empty document"), (4, (*_GOOD[:2], "dev", *_GOOD[3:]), "unsupported source split"),
-    (5, (*_GOOD[:3], "other", *_GOOD[4:]), "unsupported task or answer"), (6, (*_GOOD[:7], "maybe", *_GOOD[8:]), "unsupported task or answer"), (7, (*_GOOD[:8], [], None), "no group anchor"), (8, (*_GOOD[:8], None, None), "no group anchor"),
-    (9, (*_GOOD[:8], ["a", " "], None), "invalid group anchor"), (10, ("notinject", *_GOOD[1:]), "notinject must remain evaluation-only"), (11, ("notinject", "id", "test", *_GOOD[3:]), None), (12, (*_GOOD[:8], ["a", None], None), "invalid group anchor"),
+#: What is spoiled in a canonical record by its number modulo 11, in Spark's SQL, and what is said of it.
+_SPOILED = [
+    ("source", "NULL", "source is blank"), ("document", "'  '", "document is blank"), ("source_split", "'dev'", "the split is none of the known ones"),
+    ("task", "'other'", "the task or the answer is none of the known ones"), ("answer", "'maybe'", "the task or the answer is none of the known ones"),
+    ("group_texts", "array()", "nothing to group by"), ("group_texts", "NULL", "nothing to group by"), ("group_texts", "array('a', ' ')", "a text to group by is blank"),
+    ("source", "'notinject'", "notinject is for tests alone"),
 ]
+_SAID = " ".join(f"WHEN n = {k}" + (" AND source_split <> 'test'" if value == "'notinject'" else "") + f" THEN {quoted(said)}" for k, (_, value, said) in enumerate(_SPOILED))
 
 
-@Q("validate_records", "SELECT * FROM (VALUES " + ", ".join(f"({i}, {'NULL' if v is None else quoted(v)})" for i, _, v in BAD) + ") t(id, violation)")
+@Q("validate_records", canon_sql(f"SELECT source_id, CASE {_SAID} END AS violation FROM (SELECT *, string_split(source_id, ':')[2]::BIGINT % 11 AS n FROM canon)"))
 def _(spark, d):
-    schema = "id int, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in S.CANONICAL.fields)
-    return rows(spark, [(i, *r) for i, r, _ in BAD], schema).select("id", cb.violation().alias("violation"))
+    """Canonical records of which most are spoiled in one way each."""
+    base, n = canonical(spark, d), F.split("source_id", ":")[1].cast("long") % 11
+    for k, (column, value, _) in enumerate(_SPOILED):
+        base = base.withColumn(column, F.when(n == k, F.expr(value).cast(base.schema[column].dataType)).otherwise(F.col(column)))
+    return base.select("source_id", cb.violation().alias("violation"))
 
 
 @Q("schema_check", "SELECT * FROM (VALUES ('aegis', 'prompt_label'), ('wildguard', 'response_harm_label'), ('wildguard', 'response_refusal_label')) t(source, missing)")
@@ -495,9 +529,12 @@ def _(spark, d):
     return adapters.records("aegis", labelled(spark, d), "train").groupBy(F.col("source_split").alias("split"), "task").agg(F.count(F.lit(1)).alias("n"))
 
 
-@Q("label_domain_check", "SELECT * FROM (VALUES ('f:0', NULL), ('f:1', NULL), ('f:2', 'unexpected label: prompt_injection'), ('f:3', NULL)) t(id, violation)")
+@Q("label_domain_check", """
+  SELECT 'documents:' || doc_id AS id, CASE WHEN doc_id % 4 = 2 AND trim(replace(text, chr(10), ' ')) NOT IN ('', 'REDACTED') THEN 'unexpected label: prompt_injection' END AS violation FROM documents""")
 def _(spark, d):
-    data = rows(spark, [("f", 0, "t", 0), ("f", 1, "t", 1), ("f", 2, "t", 7), ("f", 3, "t", None)], "file string, row_index long, text string, label long")
+    """Documents with labels 0, 1, 7 and none."""
+    label = F.element_at(F.array(*[F.lit(x).cast("long") for x in (0, 1, 7, None)]), (F.col("doc_id") % 4 + 1).cast("int"))
+    data = docs(spark, d).select(F.lit("documents").alias("file"), F.col("doc_id").alias("row_index"), "text", label.alias("label"))
     return adapters.expanded("deepset", data, "train").select(F.col("source_id").alias("id"), "violation")
 
 
@@ -531,19 +568,21 @@ def _(spark, d):
 
 @Q("document_groups", canon_sql("SELECT string_split(source_id, ':')[2]::BIGINT AS doc_id, group_id FROM grouped WHERE source <> 'notinject'"))
 def _(spark, d):
-    named = cb.grouped(settle(cb.fingerprinted(canonical(spark, d)), "records"))
+    named = cb.grouped(settle(cb.slim(cb.fingerprinted(canonical(spark, d))), "records"))
     return named.where(F.col("source") != S.EVALUATION_ONLY).select(F.split("source_id", ":")[1].cast("long").alias("doc_id"), "group_id")
 
 
 @Q("group_assign", canon_sql("SELECT group_id, highest_split, target FROM facts"))
 def _(spark, d):
-    named = cb.grouped(settle(cb.fingerprinted(canonical(spark, d)), "records"))
+    named = cb.grouped(settle(cb.slim(cb.fingerprinted(canonical(spark, d))), "records"))
     return cb.group_facts(named).select("group_id", "highest_split", "target")
 
 
-@Q("split_overlap", canon_sql(_OVERLAP))
+@Q("split_overlap", canon_sql("SELECT group_id, count(*) AS n, max(rank)::INT AS dropped_rank FROM grouped JOIN facts USING (group_id) WHERE rank < highest GROUP BY group_id"))
 def _(spark, d):
-    return combined(spark, d).overlap_by_source()
+    """The groups that lose records, how many, and the highest split they are lost from."""
+    gone = combined(spark, d).flagged.where("fate = 'overlap'")
+    return gone.groupBy("group_id").agg(F.count(F.lit(1)).alias("n"), F.max(cb.rank_of(F.col("source_split"))).alias("dropped_rank"))
 
 
 @Q("overlap_by_source", canon_sql(_OVERLAP))
@@ -553,8 +592,7 @@ def _(spark, d):
 
 @Q("conflict_removal", canon_sql("SELECT example_id, n_answers FROM answers WHERE n_answers > 1"))
 def _(spark, d):
-    flagged = combined(spark, d).flagged.where("fate = 'conflict'")
-    return flagged.select("example_id").distinct().select("example_id", F.lit(2).cast("long").alias("n_answers"))
+    return combined(spark, d).conflicts
 
 
 @Q("dedup_audit", canon_sql(_AUDIT))
@@ -580,7 +618,7 @@ def _(spark, d):
     return combined(spark, d).shuffled()
 
 
-@Q("split_leakage_check", canon_sql("SELECT count(*) AS n_groups, 0::BIGINT AS n_leaking FROM (SELECT DISTINCT group_id FROM firsts)"))
+@Q("split_leakage_check", canon_sql("SELECT count(*) AS n_groups, count(*) FILTER (WHERE n > 1) AS n_leaking FROM (SELECT group_id, count(DISTINCT target) AS n FROM firsts GROUP BY group_id)"))
 def _(spark, d):
     examples = combined(spark, d).examples
     leaking = cb.leaking_groups(examples).agg(F.count(F.lit(1)).alias("n_leaking"))

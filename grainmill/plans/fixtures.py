@@ -15,8 +15,6 @@ from grainmill.functions.text import blank
 from grainmill.operators.combine import Combined
 from grainmill.runtime import scratch_path, table
 
-_COMBINED: dict[tuple, Combined] = {}
-
 
 def quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
@@ -27,6 +25,10 @@ def norm_sql(x: str) -> str:
     return rf"trim(regexp_replace(replace(lower({x}), 'ß', 'ss'), '\s+', ' ', 'g'))"
 
 
+#: White space of these tables as a string of SQL.
+SPACES_SQL = "' ' || chr(9) || chr(10) || chr(13)"
+
+
 def json_sql(x: str) -> str:
     r = f"replace(replace(replace({x}, '\\', '\\\\'), '\"', '\\\"'), chr(10), '\\n')"
     return f"'\"' || {r} || '\"'"
@@ -64,11 +66,8 @@ def canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def combined(spark: SparkSession, sf_dir: str) -> Combined:
-    """The combination of the canonical records, made once for a session and folder."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _COMBINED:
-        _COMBINED[key] = Combined(canonical(spark, sf_dir))
-    return _COMBINED[key]
+    """The combination of the canonical records."""
+    return Combined(canonical(spark, sf_dir))
 
 
 def written(spark: SparkSession, content: str, ending: str = "txt") -> str:

@@ -4,7 +4,10 @@ import hashlib
 import json
 import math
 import random
+import threading
 import unicodedata
+import urllib.error
+import urllib.request
 from collections import defaultdict
 
 import pytest
@@ -15,7 +18,9 @@ from grainmill.functions import spans as sp
 from grainmill.functions import text as tx
 from grainmill.operators import combine as cb
 from grainmill.operators import metrics, redact
+from grainmill.plans import latency
 from grainmill.sources import adapters, scans
+from grainmill.streaming import service
 
 SCHEMA = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in S.CANONICAL.fields)
 
@@ -282,6 +287,109 @@ def test_classifier_gate_and_report(spark):
     assert redact.RedactionOptions.from_environment({"ORT_PROVIDERS": "A,B", "ONNX_MAX_TOKENS": "7"}).providers == ("A", "B")
 
 
+def test_records_alike_in_the_order_of_an_example_are_told_apart_by_their_texts(spark):
+    """Rows of one example that share source, id, task and split; repeated rows; and the same without ties."""
+    tie = [record(document="Same  text", query="is IT?"), record(document="same text"), record(document="SAME TEXT"), record(document="same text")]
+    got = kept(spark, tie)
+    assert [(r.document, r.query, r.n_records) for r in got] == [("SAME TEXT", "is it?", 4)]
+    got = kept(spark, [record(source_id="2", document="SAME text"), record(source_id="1", document="same text"), record(source_id="3", document="x")])
+    assert sorted((r.document, r.source_id, r.n_records, len(r.origins)) for r in got) == [("same text", "1", 2, 2), ("x", "3", 1, 1)]
+
+
+def test_the_latency_benchmark(spark, tmp_path, capsys):
+    (tmp_path / "s.jsonl").write_text("\n".join(json.dumps({"id": i, "text": t}) for i, t in enumerate(["a B", "none", "boom"])) + "\n\n")
+    seen = []
+
+    class Counted(Shout):
+        def classify(self, text):
+            seen.append(text)
+            return super().classify(text)
+
+    with pytest.raises(ValueError, match="boom"):  # a warm-up isn't allowed to fail
+        latency.measure(spark, f"{tmp_path}/s.jsonl", Counted)
+    assert seen == ["a B", "none", "boom"]
+    args = ["--samples", f"{tmp_path}/s.jsonl", "--query-count", "7", "--warmup-samples", "2"]
+    assert latency.main(args, spark, Shout) == 1
+    got = json.loads(capsys.readouterr().out)
+    assert (got["scenario"], got["samples"], got["queries"], got["failures"]) == ("SingleStream", 3, 7, 2)
+    assert got["cold_model_load_ms"] >= 0 and got["latency_ms"]["p50"] <= got["latency_ms"]["p99"] and got["samples_per_second"] > 0
+    (tmp_path / "t.jsonl").write_text('{"id": "x", "text": "fine"}')
+    assert latency.main(["--samples", f"{tmp_path}/t.jsonl", "--scenario", "Offline", "--query-count", "9"], spark, Shout) == 0
+    assert json.loads(capsys.readouterr().out)["queries"] == 9
+    (tmp_path / "none.jsonl").write_text("\n")
+    with pytest.raises(ValueError, match="no samples"):
+        latency.measure(spark, f"{tmp_path}/none.jsonl", Shout)
+
+
+def test_the_redaction_service(spark):
+    class Failing(Shout):
+        def classify(self, text):
+            if text == "down":
+                raise redact.RedactorError("no model")
+            return super().classify(text)
+
+    own = service.Service(spark, Failing, redact.RedactionOptions(model_id="m", max_tokens=2))
+    assert own.health()[1]["ready"] is False
+    own.load()
+    http = service.server(own)
+    threading.Thread(target=http.serve_forever, daemon=True).start()
+
+    def ask(path, body=None):
+        request = urllib.request.Request(f"http://127.0.0.1:{http.server_port}{path}", None if body is None else body.encode())
+        try:
+            with urllib.request.urlopen(request, timeout=30) as got:
+                return got.status, json.load(got)
+        except urllib.error.HTTPError as e:
+            return e.code, json.load(e)
+
+    try:
+        assert ask("/healthz") == (200, {"ok": True, "ready": True, "backend": "onnx", "decode_mode": "bioes_argmax", "model_id": "m", "onnx_model_file": "onnx/model_q4.onnx", "providers": [], "model_bytes": 0})
+        status, got = ask("/redact", json.dumps({"text": "é B cDE"}))
+        assert status == 200 and got.pop("elapsed_ms") > 0
+        assert got == {"redacted_text": "é <SECRET> c<SECRET>E", "labels": ["SECRET"], "backend": "onnx", "model_id": "m", "onnx_model_file": "onnx/model_q4.onnx", "decode_mode": "bioes_argmax", "input_chars": 7, "output_chars": 21}
+        assert ask("/redact", json.dumps({"text": "down"})) == (503, {"detail": "no model"})
+        for bad in ("", "[]", "{", '{"text": 1}', '{"text": ""}', json.dumps({"text": "x" * 2_000_001})):
+            assert ask("/redact", bad)[0] == 422, bad[:9]
+        assert ask("/none")[0] == ask("/none", "{}")[0] == 404
+    finally:
+        http.shutdown()
+        http.server_close()
+
+
+#: Texts, tokens, and the spans expected of them.
+TOKEN_CASES = [
+    (1, "Ada Lovelace mail a@b.c", [("B-private_person", 0, 3), ("E-private_person", 3, 12), ("O", 13, 17), ("S-private_email", 17, 23)], [("private_person", 0, 12, "Ada Lovelace"), ("private_email", 18, 23, "a@b.c")]),
+    (2, "one two three", [("I-x", 0, 3), ("I-x", 3, 7), ("E-y", 8, 13)], [("x", 0, 7, "one two"), ("y", 8, 13, "three")]),
+    (3, "a b c d", [("B-x", 0, 1), ("B-y", 2, 3), ("I-x", 4, 5), ("O", 5, 5), ("Q-x", 6, 7)], [("x", 0, 1, "a"), ("y", 2, 3, "b"), ("x", 4, 5, "c")]),
+    (4, "k-1 s", [("S-a-b", 0, 3), ("S", 4, 5)], [("a-b", 0, 3, "k-1"), ("S", 4, 5, "s")]),
+    (5, "   ", [("S-x", 0, 3)], []),
+    (6, "open end", [("B-x", 0, 4), ("I-x", 5, 8)], [("x", 0, 8, "open end")]),
+    (7, "none", [], []),
+    (8, "é😀z", [("S-x", 1, 2), ("S-x", 1, 3)], [("x", 1, 3, "😀z")]),
+]
+
+
+def test_spans_of_labelled_tokens(spark):
+    rows = spark.createDataFrame([(i, t, k) for i, t, k, _ in TOKEN_CASES], "i int, body string, tokens array<struct<label:string,start:int,end:int>>")
+    got = {r.i: [tuple(s) for s in r.s] for r in rows.select("i", sp.bioes_spans(F.col("body"), F.col("tokens")).alias("s")).collect()}
+    assert got == {i: [(a, b, c, t, f"<{a.upper()}>") for a, b, c, t in want] for i, _, _, want in TOKEN_CASES}
+    cases = [(" ab\t", 0, 4, (1, 3, "ab")), ("ab\u3000", 0, 3, (0, 2, "ab")), (" \n\x1c", 0, 3, (3, 3, ""))]
+    rows = spark.createDataFrame([(t, ("x", a, b)) for t, a, b, _ in cases], "t string, s struct<label:string,start:int,end:int>")
+    assert [tuple(r) for r in rows.select(sp.trimmed(F.col("t"), F.col("s")).alias("c")).select("c.start", "c.end", "c.text").collect()] == [w for *_, w in cases]
+
+
+def test_redactions_of_many_spans(spark):
+    """Neighbours, a span at either end, overlaps, and characters beyond the basic plane."""
+    text = "😀" + "ab" * 3000 + "é"
+    spans = [("x", 0, 1, "", "<X>")] + [("y", 1 + 2 * i, 2 + 2 * i, "", "<Y>") for i in range(3000)] + [("z", 3, 5, "", "<Z>"), ("w", 6000, 6002, "", "<W>")]
+    row = spark.createDataFrame([(text, spans), ("none", [])], f"t string, s array<{S.SPAN.simpleString()}>").select(sp.apply_redactions(F.col("t"), F.col("s"))).collect()
+    want, at = "", 0
+    for _, a, b, _, mark in sorted(spans, key=lambda s: (s[1], s[1] - s[2])):
+        if a >= at:
+            want, at = want + text[at:a] + mark, b
+    assert [r[0] for r in row] == [want + text[at:], "none"]
+
+
 def test_latency_percentiles(spark):
     rng = random.Random(1)
     groups = {n: [rng.choice([rng.random() * 100, 5.0]) for _ in range(n)] for n in (1, 2, 3, 20, 101)}
