@@ -190,6 +190,13 @@ def held_out(id_col: str) -> Column:
 
 def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
     """A model from a bounded sample of the labelled rows that are not held out."""
+    try:
+        return _train(df, id_col, text_col, lang_col)
+    finally:
+        release()  # the driver goes on without the sample
+
+
+def _train(df: DataFrame, id_col: str, text_col: str, lang_col: str) -> Model:
     rows = df.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & ~held_out(id_col))
     counts = {r[0]: r[1] for r in rows.groupBy(lang_col).count().collect()}  # a row for each language
     if not counts:
@@ -220,8 +227,8 @@ def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     order = np.argsort(np.array([str(x) for x in got.column("id").to_pylist()]), kind="stable")
     lang = np.array(got.column("lang").to_pylist(), dtype=object)[order]
     at, value = got.column("at").combine_chunks(), got.column("value").combine_chunks()
-    rows_ = [(at[int(i)].values.to_numpy(), value[int(i)].values.to_numpy().astype(float)) for i in order]
-    rows_ = [(a, v * 30) for a, v in rows_]  # shares are small: bring margins to about one
+    # shares are small: bring margins to about one
+    rows_ = [(at[int(i)].values.to_numpy(), value[int(i)].values.to_numpy().astype(float) * 30) for i in order]
 
     langs = sorted(set(lang))
     family = {x: FAMILY.get(x.split("-")[0], f"other {x}") for x in langs}

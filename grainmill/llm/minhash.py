@@ -282,7 +282,11 @@ def likely_members(percent: int, least: int):
 
     def run(group: pa.Table) -> pa.Table:
         unit = Unit(group, percent, least)
-        return unit.group.select(names).take(pa.array(unit.rows))
+        found = unit.group.select(names).take(pa.array(unit.rows))
+        del unit
+        if group.num_rows >= CHUNK:
+            release()
+        return found
 
     return run
 
