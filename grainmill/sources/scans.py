@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import posixpath
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,6 +38,20 @@ def parquet_rows(spark: SparkSession, path: str) -> DataFrame:
     return df.select(F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row_index"), *df.columns)
 
 
+def table_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Parquet rows with ``row_index`` through all files of a table, in the order of their paths.
+
+    Row counts come from the files' footers; a row for each file is numbered and broadcast.
+    """
+    df = spark.read.parquet(path)
+    place = F.col("_metadata.file_path").alias("__file")
+    sizes = df.select(place).groupBy("__file").agg(F.count(F.lit(1)).alias("__n"))
+    before = F.sum("__n").over(Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.select("__file", F.coalesce(before, F.lit(0)).alias("__start"))
+    rows = df.select(place, F.col("_metadata.row_index").alias("__k"), *df.columns).join(F.broadcast(starts), "__file")
+    return rows.select((F.col("__start") + F.col("__k")).alias("row_index"), *df.columns)
+
+
 def scan(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A source file by its ending; other formats fail."""
     if path.endswith(".json"):
