@@ -59,7 +59,7 @@ def provenance_json(name: str, columns: list[str], more: dict[str, str | None] |
 
 
 def expanded(name: str, rows: DataFrame, split: str, more: dict[str, str | None] | None = None) -> DataFrame:
-    """A row for each task of each input row, with ``skip`` or ``violation`` where it gives no record.
+    """A row for each task of each input row (``entry`` from 0), with ``skip`` or ``violation`` where it gives no record.
 
     ``rows`` has ``file, row_index`` and the source's columns. The checks stand in the order
     redacted prompt, blank prompt, missing label, label domain, redacted and blank response.
@@ -83,7 +83,7 @@ def expanded(name: str, rows: DataFrame, split: str, more: dict[str, str | None]
         specs = [entry("prompt_injection", label, F.when(label == 1, "yes").otherwise("no"), label.isin(0, 1))]
     base = rows.select(
         F.lit(name).alias("source"), source_id(F.col("file"), has("id"), F.col("row_index")).alias("source_id"), F.lit(split).alias("source_split"),
-        prompt.alias("__prompt"), response.alias("__response"), provenance_json(name, rows.columns, more).alias("provenance"), F.explode(F.array(*specs)).alias("__t"),
+        prompt.alias("__prompt"), response.alias("__response"), provenance_json(name, rows.columns, more).alias("provenance"), F.posexplode(F.array(*specs)).alias("entry", "__t"),
     )
     base = base.select("*", "__t.*").drop("__t")
     about_response = F.col("task").isin("response_moderation", "refusal")
@@ -102,8 +102,8 @@ def expanded(name: str, rows: DataFrame, split: str, more: dict[str, str | None]
 def skip_counts(rows: DataFrame) -> DataFrame:
     """``reason, n`` of expanded rows. A prompt that is gone counts once for its input row, not for each task."""
     whole_row = F.col("skip").isin("redacted_prompt_rows", "empty_prompt_rows")
-    first = rows.where("skip is not null").select(F.col("skip").alias("reason"), F.when(whole_row, F.lit("")).otherwise(F.col("task")).alias("t"), "source", "source_id", "source_split", "provenance")
-    return first.distinct().groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    once = rows.where(F.col("skip").isNotNull() & (~whole_row | (F.col("entry") == 0)))
+    return once.groupBy(F.col("skip").alias("reason")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def records(name: str, rows: DataFrame, split: str, more: dict[str, str | None] | None = None) -> DataFrame:
