@@ -424,3 +424,27 @@ def test_scans_fail_on_what_they_do_not_read(spark, tmp_path):
     files = spark.createDataFrame([("data/NotInject_one-0.parquet",)], "filename string")
     with pytest.raises(ValueError, match="missing"):
         scans.require_files(files, "notinject")
+
+
+def test_record_fingerprints_equal_the_columns_definitions_in_one_pass(spark):
+    texts = ["Straße  é\n", "STRASSE É", 'q"\\\n\x1b\x7f😀', "", "ﬁ ａ b", "plain"]
+    data = [record(source_id=str(i), document=t, query=f"Is  it {t}?", group_texts=g) for i, t in enumerate(texts) for g in ([t], [t, "First\tLine"], ["x", "X", "y"], None)]
+    df = spark.createDataFrame(data, SCHEMA)
+    got = cb.fingerprinted(df)
+    norm = {c: tx.normalized(F.col(c)) for c in ("instruction", "query", "document")}
+    anchors = F.array_sort(F.array_distinct(F.concat(F.transform(tx.normalized_all(F.col("group_texts")), tx.digest), F.array(tx.digest(norm["document"])))))
+    want = df.select("source_id", "group_texts", tx.digest(norm["document"]).alias("document_sha256"), tx.example_key(F.col("task"), *norm.values()).alias("example_id"), anchors.alias("anchors"))
+    assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect()))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "regexp_replace" not in plan and plan.count("record_fingerprints") >= 1
+
+
+def test_counts_and_orders_write_no_texts(spark, monkeypatch):
+    written = []
+    settle = cb.settle
+    monkeypatch.setattr(cb, "settle", lambda df, name, *a: written.append((name, df.columns)) or settle(df, name, *a))
+    c = cb.Combined(spark.createDataFrame([record(source_id=str(i), document=f"text {i % 7}", source_split=S.SPLITS[i % 3]) for i in range(20)], SCHEMA))
+    for result in (c.audit(), c.overlap_by_source(), c.split_counts(), c.shuffled(), cb.group_leaks(c.chosen), c.conflicts):
+        assert result.count() >= 0
+    assert written and not [n for n, columns in written if "document" in columns]
+    assert {r.source_id: r.document for r in c.examples.collect()} and "document" in c.examples.columns
