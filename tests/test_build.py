@@ -6,6 +6,7 @@ from email.message import Message
 
 import pytest
 
+from grainmill.operators.combine import Combined
 from grainmill.plans import build
 from grainmill.sources import adapters, fetching, upstream
 from grainmill.sources.fetching import Unavailable
@@ -245,3 +246,13 @@ def test_streams(spark, tmp_path):
     q = without_repeats(stream, "ts", "1 hour").writeStream.format("memory").queryName("fresh").outputMode("append").trigger(availableNow=True).start()
     q.awaitTermination()
     assert spark.table("fresh").count() == 2
+
+
+def test_the_export_needs_no_positions_for_its_order(spark, tmp_path, monkeypatch):
+    c = Combined(spark.createDataFrame(rows_of(), SCHEMA))
+    want = {s: [r.example_id for r in c.shuffled().where(f"split = '{s}'").orderBy("pos").collect()] for s in ("train", "test")}
+    monkeypatch.setattr(Combined, "shuffled", None)  # whole texts would be shuffled once more to meet them
+    build.export(c, str(tmp_path / "out"))
+    for split, ids in want.items():
+        lines = [line for part in sorted((tmp_path / f"out/split={split}").glob("part-*")) for line in part.read_text().splitlines()]
+        assert [json.loads(line)["metadata"]["example_id"] for line in lines] == ids
